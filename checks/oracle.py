@@ -310,7 +310,7 @@ def _joined(relation: str, lags: dict[int, list[str]]) -> str:
 def _joined_all_months(relation: str, lags: dict[int, list[str]]) -> str:
     """Every month of ``relation`` as anchor, earlier months joined on a month number."""
     number = (
-        "cast(substr({0}.snapshot_date, 1, 4) + 0.0 as integer) * 12 "
+        "cast(substr({0}.snapshot_date, 1, 4) as integer) * 12 "
         "+ cast(substr({0}.snapshot_date, 5, 2) as integer)"
     )
     columns = [f'm{i}."{c}" as "{c}_lag{i}"' for i, listed in lags.items() for c in listed]
