@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from checks import relations as rel
 from checks.oracle import ANCHOR
 from checks.relations import CALL_MONTH, PURCHASE_TYPES
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import named, ref
 from monthgrain.operators import cleaning
 from monthgrain.operators.snapshots import preview, scan_snapshot
 from monthgrain.plans import balance, holdings, job, labels, transactions
 from monthgrain.sources.delimited import read_source
-from monthgrain.sources.manifest import BANK, CALLS, SOURCES, Source
+from monthgrain.sources.manifest import SOURCES, Source
 from monthgrain.sources.warehouse import FEATURES, RAW, Warehouse, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,11 +24,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round doubles, so that results do not hinge on the order of additions."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(quoted(f.name), digits).alias(f.name)
+            named(f"round({ref(f.name)}, {digits})", f.name)
             if isinstance(f.dataType, T.DoubleType)
-            else quoted(f.name)
+            else ref(f.name)
             for f in df.schema.fields
         ]
     )

@@ -3,66 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def or_zero(value: str) -> str:
+    return f"coalesce({value}, 0D)"
 
-def null_safe_sum(columns: Sequence[Column], zero: float | int = 0.0) -> Column:
-    """Sum that reads null as zero; no columns at all gives zero."""
-    return reduce(add, (F.coalesce(c, F.lit(zero)) for c in columns), F.lit(zero))
 
+def null_safe_sum(values: Sequence[str]) -> str:
+    """Sum that reads null as zero; no values at all give zero."""
+    return "(" + " + ".join(["0D", *[or_zero(v) for v in values]]) + ")"
 
-def strict_sum(columns: Sequence[Column], zero: float | int = 0.0) -> Column:
-    """Sum that is null as soon as one term is null; no columns at all gives zero."""
-    return reduce(add, columns, F.lit(zero))
 
+def strict_sum(values: Sequence[str], zero: str = "0D") -> str:
+    """Sum that is null as soon as one value is null; no values at all give zero."""
+    return "(" + " + ".join([zero, *values]) + ")"
 
-def row_max(columns: Sequence[Column]) -> Column:
-    """Largest non-null value (``greatest`` itself wants at least two columns)."""
-    return F.greatest(*columns) if len(columns) > 1 else columns[0]
 
+def row_max(values: Sequence[str]) -> str:
+    """Largest non-null value (``greatest`` itself wants at least two)."""
+    return f"greatest({', '.join(values)})" if len(values) > 1 else values[0]
 
-def row_min(columns: Sequence[Column]) -> Column:
+
+def row_min(values: Sequence[str]) -> str:
     """Smallest non-null value."""
-    return F.least(*columns) if len(columns) > 1 else columns[0]
+    return f"least({', '.join(values)})" if len(values) > 1 else values[0]
 
 
-def row_mean(columns: Sequence[Column]) -> Column:
+def row_mean(values: Sequence[str]) -> str:
     """Mean of the non-null values; 0.0 when there are none."""
-    filled = reduce(add, (c.isNotNull().cast("int") for c in columns))
-    return null_safe_sum(columns) / F.greatest(filled, F.lit(1))
+    filled = " + ".join(f"int({v} IS NOT NULL)" for v in values)
+    return f"{null_safe_sum(values)} / greatest({filled}, 1)"
 
 
-def share(part: Column, total: Column) -> Column:
+def share(part: str, total: str) -> str:
     """``part / total`` for a positive total, else 0.0."""
-    return F.when(total > 0, F.try_divide(part.cast("double"), total)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {total} > 0 THEN try_divide(double({part}), {total}) ELSE 0D END"
 
 
-def relative_change(recent: Column, past: Column) -> Column:
+def relative_change(recent: str, past: str) -> str:
     """``(recent - past) / past`` for a positive past.
 
     A past of zero gives the recent value; a missing or negative past gives 0.0.
     """
     return (
-        F.when(past > 0, F.try_divide(recent - past, past))
-        .when((past == 0) & (recent != 0), recent)
-        .otherwise(F.lit(0.0))
+        f"CASE WHEN {past} > 0 THEN try_divide({recent} - {past}, {past}) "
+        f"WHEN {past} = 0 AND {recent} <> 0 THEN {recent} ELSE 0D END"
     )
 
 
-def ratio_or_null(part: Column, whole: Column) -> Column:
+def ratio_or_null(part: str, whole: str) -> str:
     """``part / whole``; null for a zero or missing whole."""
-    return F.try_divide(part, whole)
+    return f"try_divide({part}, {whole})"
 
 
-def capped(value: Column, limit: float, when_null: float) -> Column:
+def capped(value: str, limit: int, when_null: int) -> str:
     """Value cut at ``limit``, with nulls replaced first."""
-    return F.least(F.coalesce(value, F.lit(float(when_null))), F.lit(float(limit)))
+    return f"least(coalesce({value}, {when_null}D), {limit}D)"
 
 
-def clipped(value: Column, limit: float) -> Column:
+def clipped(value: str, limit: int) -> str:
     """Value cut at ``limit``; null stays null (``least`` would turn it into the limit)."""
-    return F.when(value > limit, F.lit(float(limit))).otherwise(value)
+    return f"CASE WHEN {value} > {limit} THEN {limit}D ELSE {value} END"

@@ -1,12 +1,9 @@
-"""Header and text clean-up."""
+"""Quoting, header and text clean-up."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Characters a column name may not keep, the empty time of day that
 # date exports carry, and the text that stands for null.
 NAME_BREAKERS = r"[ ,;{}()\n\t=]+"
@@ -14,19 +11,28 @@ MIDNIGHT = r"\b00:00:00\b"
 NULL_TEXT = "(null)"
 
 
+def ref(name: str) -> str:
+    """Column reference that takes the name literally, dots and hyphens included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """String literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def named(expression: str, name: str) -> str:
+    return f"{expression} AS {ref(name)}"
+
+
 def clean_name(name: str) -> str:
     """Lower-case column name with runs of awkward characters turned into ``_``."""
     return re.sub(NAME_BREAKERS, "_", name.strip().lower()).strip("_")
 
 
-def quoted(name: str) -> Column:
-    """Column reference that takes the name literally, dots and hyphens included."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def tidy_text(value: Column) -> Column:
+def tidy_text(value: str) -> str:
     """Drop midnight stamps, read the null text as null, then trim.
 
     The null text is compared before trimming, so a padded one stays text.
     """
-    return F.trim(F.nullif(F.regexp_replace(value, MIDNIGHT, ""), F.lit(NULL_TEXT)))
+    return f"trim(nullif(regexp_replace({value}, {text(MIDNIGHT)}, ''), {text(NULL_TEXT)}))"

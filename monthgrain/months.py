@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONTH = "snapshot_date"
 
 
@@ -27,20 +24,20 @@ def months_back(snapshot: str, count: int) -> list[str]:
     return [month_text(anchor - back) for back in range(count)]
 
 
-def _part(month: Column, start: int, length: int) -> Column:
-    return F.substring(month, start, length).cast("int")
+def _part(month: str, start: int, length: int) -> str:
+    return f"int(substring({month}, {start}, {length}))"
 
 
-def month_index(month: Column) -> Column:
-    """:func:`month_number` as a column expression."""
-    return _part(month, 1, 4) * 12 + _part(month, 5, 2)
+def month_index(month: str) -> str:
+    """:func:`month_number` as SQL text over a ``yyyyMM`` expression."""
+    return f"({_part(month, 1, 4)} * 12 + {_part(month, 5, 2)})"
 
 
-def month_start(month: Column) -> Column:
-    """First day of a ``yyyyMM`` column as a date."""
-    return F.make_date(_part(month, 1, 4), _part(month, 5, 2), F.lit(1))
+def month_start(month: str) -> str:
+    """First day of a ``yyyyMM`` expression as a date."""
+    return f"make_date({_part(month, 1, 4)}, {_part(month, 5, 2)}, 1)"
 
 
-def month_end(month: Column) -> Column:
-    """Last day of a ``yyyyMM`` column as a date."""
-    return F.last_day(month_start(month))
+def month_end(month: str) -> str:
+    """Last day of a ``yyyyMM`` expression as a date."""
+    return f"last_day({month_start(month)})"

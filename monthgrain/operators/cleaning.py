@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from monthgrain.functions.dates import ISO_DATE, parse_date
-from monthgrain.functions.text import clean_name, quoted, tidy_text
+from monthgrain.functions.text import clean_name, named, ref, tidy_text
 from monthgrain.operators.history import KEY
 
 # Id columns that may stand in for the customer id, by priority.
@@ -53,9 +52,9 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 def tidy_strings(df: DataFrame) -> DataFrame:
     """Apply ``tidy_text`` to every string column."""
-    return df.select(
+    return df.selectExpr(
         *[
-            tidy_text(quoted(f.name)).alias(f.name) if _is_text(f) else quoted(f.name)
+            named(tidy_text(ref(f.name)), f.name) if _is_text(f) else ref(f.name)
             for f in df.schema.fields
         ]
     )
@@ -69,15 +68,17 @@ def add_customer_id(
     The candidates stay in the table. A table without any of them is returned unchanged.
     """
     if key in df.columns:
-        return df.withColumn(key, quoted(key).cast("string"))
-    present = [quoted(c).cast("string") for c in candidates if c in df.columns]
-    return df.withColumn(key, F.coalesce(*present)) if present else df
+        return ids_to_text(df, (key,))
+    present = [f"string({ref(c)})" for c in candidates if c in df.columns]
+    if not present:
+        return df
+    return df.selectExpr("*", named(f"coalesce({', '.join(present)})", key))
 
 
 def ids_to_text(df: DataFrame, ids: Collection[str] = CALL_IDS) -> DataFrame:
     """Cast the id columns that are present to text."""
-    return df.select(
-        *[quoted(c).cast("string").alias(c) if c in ids else quoted(c) for c in df.columns]
+    return df.selectExpr(
+        *[named(f"string({ref(c)})", c) if c in ids else ref(c) for c in df.columns]
     )
 
 
@@ -85,6 +86,25 @@ def _stays_text(name: str) -> bool:
     return name.lower() in KEPT_AS_TEXT or name.lower().endswith(KEPT_ENDINGS)
 
 
+def as_dates(
+    df: DataFrame, names: Collection[str], formats: Sequence[str] = (ISO_DATE,)
+) -> DataFrame:
+    """Parse the named columns, where present and not dates already."""
+    parsed = [f.name for f in df.schema.fields if f.name in names and _not_date(f)]
+    if not parsed:
+        return df
+    return df.selectExpr(
+        *[
+            named(parse_date(ref(c), formats), c) if c in parsed else ref(c)
+            for c in df.columns
+        ]
+    )
+
+
+def _not_date(field: T.StructField) -> bool:
+    return not isinstance(field.dataType, T.DateType)
+
+
 def harden_types(
     df: DataFrame,
     keep: Collection[str] = (),
@@ -96,14 +116,14 @@ def harden_types(
     Columns of ``keep``, and those ids and flags that are text everywhere, stay as they are.
     """
 
-    def hardened(name: str) -> Column:
+    def hardened(name: str) -> str:
         if name in dates:
-            return parse_date(quoted(name), date_formats).alias(name)
+            return named(parse_date(ref(name), date_formats), name)
         if name in keep or _stays_text(name):
-            return quoted(name)
-        return quoted(name).try_cast("double").alias(name)
+            return ref(name)
+        return named(f"try_cast({ref(name)} AS double)", name)
 
-    return df.select(*[hardened(c) for c in df.columns])
+    return df.selectExpr(*[hardened(c) for c in df.columns])
 
 
 def fill_numbers(df: DataFrame, value: float = 0) -> DataFrame:

@@ -15,16 +15,19 @@ months may be missing.
 The key of the result is (customer, month). Rows that break it, i.e. two rows of one customer
 in one month where rows are not to be added up, or a customer id that is null, stop the run
 with an error. They are neither dropped nor multiplied.
+
+Values should be numbers or dates: those keep the aggregation a hash aggregation, while text
+makes it sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import named, ref, text
 from monthgrain.months import MONTH, month_index, month_number, months_back
 
 KEY = "cifno"
@@ -46,7 +49,7 @@ def attach_history(
     lags: Lags,
     snapshot: str | None = None,
     *,
-    sums: Mapping[str, Column] | None = None,
+    sums: Mapping[str, str] | None = None,
     key: str = KEY,
     since: str | None = None,
     until: str | None = None,
@@ -67,61 +70,56 @@ def attach_history(
     return _one_anchor(df, lags, sums, key, snapshot)
 
 
-def _value(name: str, sums: Mapping[str, Column] | None) -> Column:
-    return quoted(name) if sums is None else sums[name]
+def _values(lags: Lags, sums: Mapping[str, str] | None) -> dict[str, str]:
+    names = dict.fromkeys(n for listed in lags.values() for n in listed)
+    return {n: ref(n) if sums is None else sums[n] for n in names}
 
 
-def _checked(key: str, duplicated: Column, month: Column) -> Column:
+def _checked(key: str, duplicated: str) -> str:
     """True, or an error for a row whose key is null or not unique."""
-    no_key = F.raise_error(F.concat(F.lit(f"{key} is null in month "), month))
-    not_unique = F.raise_error(
-        F.concat(F.lit(f"more than one row in a month for {key} "), quoted(key))
-    )
+    no_key = text(f"{key} is null in month ")
+    not_unique = text(f"more than one row in a month for {key} ")
     return (
-        F.when(quoted(key).isNull(), no_key.cast("boolean"))
-        .when(duplicated, not_unique.cast("boolean"))
-        .otherwise(F.lit(True))
+        f"CASE WHEN {ref(key)} IS NULL THEN boolean(raise_error({no_key} || {MONTH})) "
+        f"WHEN {duplicated} THEN boolean(raise_error({not_unique} || {ref(key)})) "
+        "ELSE true END"
     )
 
 
 def _one_anchor(
-    df: DataFrame, lags: Lags, sums: Mapping[str, Column] | None, key: str, snapshot: str
+    df: DataFrame, lags: Lags, sums: Mapping[str, str] | None, key: str, snapshot: str
 ) -> DataFrame:
     months = months_back(snapshot, max(lags) + 1)
-    names = list(dict.fromkeys(n for listed in lags.values() for n in listed))
-    rows = df.where(F.col(MONTH).isin([months[i] for i in lags])).select(
-        quoted(key).alias(key),
-        (F.lit(month_number(snapshot)) - month_index(F.col(MONTH))).alias(_LAG),
-        *[_value(n, sums).alias(n) for n in names],
+    rows = df.where(F.col(MONTH).isin([months[i] for i in lags])).selectExpr(
+        ref(key),
+        named(f"{month_number(snapshot)} - {month_index(MONTH)}", _LAG),
+        *[named(value, n) for n, value in _values(lags, sums).items()],
     )
-    pick = F.max if sums is None else F.sum
+    pick = "max" if sums is None else "sum"
     picked = [
-        pick(F.when(F.col(_LAG) == lag, quoted(n))).alias(lag_name(n, lag))
+        F.expr(named(f"{pick}(CASE WHEN {_LAG} = {lag} THEN {ref(n)} END)", lag_name(n, lag)))
         for lag, listed in lags.items()
         for n in listed
     ]
-    # One bit per month seen: the key is unique if there are as many bits as rows.
-    seen = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col(_LAG)))
-    folded = rows.groupBy(quoted(key).alias(key)).agg(
-        *picked, seen.alias(_SEEN), F.count(F.lit(1)).alias(_ROWS)
+    folded = rows.groupBy(ref(key)).agg(
+        *picked,
+        # One bit per month seen: the key is unique if there are as many bits as rows.
+        F.expr(f"bit_or(shiftleft(1, {_LAG})) AS {_SEEN}"),
+        F.expr(f"count(*) AS {_ROWS}"),
     )
-    if sums is None:
-        duplicated = F.col(_ROWS) != F.bit_count(_SEEN)
-    else:
-        duplicated = F.lit(False)
-    at_anchor = F.col(_SEEN).bitwiseAND(F.lit(1)) == 1
-    wanted = F.when(at_anchor, _checked(key, duplicated, F.lit(snapshot))).otherwise(F.lit(False))
-    return folded.where(wanted).select(
-        quoted(key),
-        F.lit(snapshot).alias(MONTH),
-        *[quoted(lag_name(n, lag)) for lag, listed in lags.items() for n in listed],
+    duplicated = f"{_ROWS} <> bit_count({_SEEN})" if sums is None else "false"
+    wide = folded.withColumn(MONTH, F.lit(snapshot))
+    return wide.where(
+        f"CASE WHEN {_SEEN} & 1 = 1 THEN {_checked(key, duplicated)} ELSE false END"
+    ).selectExpr(
+        ref(key), MONTH, *[ref(lag_name(n, i)) for i, listed in lags.items() for n in listed]
     )
 
 
 def _every_anchor(
     df: DataFrame,
     lags: Lags,
-    sums: Mapping[str, Column] | None,
+    sums: Mapping[str, str] | None,
     key: str,
     since: str | None,
     until: str | None,
@@ -130,31 +128,27 @@ def _every_anchor(
         df = df.where(F.col(MONTH) >= months_back(since, max(lags) + 1)[-1])
     if until is not None:
         df = df.where(F.col(MONTH) <= until)
-    names = list(dict.fromkeys(n for listed in lags.values() for n in listed))
-    fold = F.max if sums is None else F.sum
-    duplicated = F.col(_ROWS) > 1 if sums is None else F.lit(False)
+    fold = "max" if sums is None else "sum"
+    duplicated = f"{_ROWS} > 1" if sums is None else "false"
     monthly = (
-        df.groupBy(quoted(key).alias(key), F.col(MONTH))
+        df.groupBy(ref(key), MONTH)
         .agg(
-            *[fold(_value(n, sums)).alias(n) for n in names],
-            F.count(F.lit(1)).alias(_ROWS),
+            *[F.expr(named(f"{fold}({v})", n)) for n, v in _values(lags, sums).items()],
+            F.expr(f"count(*) AS {_ROWS}"),
         )
-        .where(_checked(key, duplicated, F.col(MONTH)))
-        .withColumn(_INDEX, month_index(F.col(MONTH)))
+        .where(_checked(key, duplicated))
+        .selectExpr("*", named(month_index(MONTH), _INDEX))
     )
-    by_customer = Window.partitionBy(quoted(key)).orderBy(_INDEX)
-    out = monthly.select(
-        quoted(key),
-        F.col(MONTH),
-        *[
-            (
-                quoted(n)
-                if lag == 0
-                else F.max(quoted(n)).over(by_customer.rangeBetween(-lag, -lag))
-            ).alias(lag_name(n, lag))
-            for lag, listed in lags.items()
-            for n in listed
-        ],
+
+    def picked(name: str, lag: int) -> str:
+        if lag == 0:
+            return named(ref(name), lag_name(name, lag))
+        frame = f"RANGE BETWEEN {lag} PRECEDING AND {lag} PRECEDING"
+        over = f"PARTITION BY {ref(key)} ORDER BY {_INDEX} {frame}"
+        return named(f"max({ref(name)}) OVER ({over})", lag_name(name, lag))
+
+    out = monthly.selectExpr(
+        ref(key), MONTH, *[picked(n, lag) for lag, listed in lags.items() for n in listed]
     )
     # The filter runs after the window, so the first anchors still see their history.
     return out.where(F.col(MONTH) >= since) if since is not None else out

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import ref
 
 
 def merge_by_key(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -15,18 +14,13 @@ def merge_by_key(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) ->
 
     Columns that only one side has are null on the other.
     """
-    replaced = incoming.select(*[quoted(k) for k in keys])
+    replaced = incoming.selectExpr(*[ref(k) for k in keys])
     kept = stored.join(replaced, list(keys), "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once or are null in part, with their row count."""
-    some_null = F.lit(False)
-    for k in keys:
-        some_null = some_null | quoted(k).isNull()
-    return (
-        df.groupBy(*[quoted(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where((F.col("rows") > 1) | some_null)
-    )
+    some_null = " OR ".join(f"{ref(k)} IS NULL" for k in keys)
+    counted = df.selectExpr(*[ref(k) for k in keys]).groupBy(*keys).count()
+    return counted.where(f"count > 1 OR {some_null}")

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from monthgrain.functions.dates import inside_month, parse_date, third_of_month, weekday_name
+from monthgrain.functions.dates import inside_month, third_of_month, weekday_name
 from monthgrain.functions.rowwise import ratio_or_null, row_max, row_mean, row_min
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
-from monthgrain.operators.cleaning import fill_numbers
+from monthgrain.operators.cleaning import as_dates, fill_numbers
 from monthgrain.operators.history import KEY, attach_history, lag_name
 from monthgrain.operators.snapshots import scan_snapshot
-from monthgrain.operators.stats import SPANS, lag_columns
+from monthgrain.operators.stats import SPANS, lag_refs
 
 # What is kept of a month, by how far back it is.
 BALANCES = ("avg", "sdev", "med", "mx", "mn", "qt1", "qt3", "d20", "eom", "nod")
@@ -30,16 +29,17 @@ DAILY_BALANCES = ("avgd", "mnd", "eomd")
 
 def clean_balances(df: DataFrame) -> DataFrame:
     """Check the dates of the highest and lowest balance and describe them."""
-    checked = df.withColumns(
-        {c: inside_month(parse_date(quoted(c)), F.col(MONTH)) for c in EXTREME_DATES}
+    checked = as_dates(df, EXTREME_DATES).selectExpr(
+        *[ref(c) for c in df.columns if c not in EXTREME_DATES],
+        *[named(inside_month(c, MONTH), c) for c in EXTREME_DATES],
+    )
+    return checked.selectExpr(
+        "*",
+        *[named(weekday_name(c), f"weekday_{c}") for c in EXTREME_DATES],
+        *[named(third_of_month(c), f"{c}_range") for c in EXTREME_DATES],
+        "datediff(mxdt, mndt) AS delta_days",
+        "mx - mn AS delta_max_min_bal",
     )
-    described: dict[str, Column] = {}
-    for c in EXTREME_DATES:
-        described[f"weekday_{c}"] = weekday_name(quoted(c))
-        described[f"{c}_range"] = third_of_month(quoted(c))
-    described["delta_days"] = F.datediff("mxdt", "mndt")
-    described["delta_max_min_bal"] = F.col("mx") - F.col("mn")
-    return checked.withColumns(described)
 
 
 def balance_history(
@@ -53,13 +53,10 @@ def balance_history(
     recent = (*BALANCES, *DERIVED)
     lags = {0: (*recent, *EXTREME_DATES), 1: recent, 2: recent, 3: OLDER, 4: OLDER, 5: OLDER}
     wide = attach_history(clean_balances(df), lags, snapshot, since=since, until=until)
-    dates = [lag_name(c, 0) for c in EXTREME_DATES]
-    return wide.select(
-        *[quoted(c) for c in wide.columns if c not in dates],
-        *[
-            weekday_name(quoted(lag_name(c, 0))).alias(lag_name(f"weekday_{c}", 0))
-            for c in EXTREME_DATES
-        ],
+    dates = {c: lag_name(c, 0) for c in EXTREME_DATES}
+    return wide.selectExpr(
+        *[c for c in wide.columns if c not in dates.values()],
+        *[named(weekday_name(d), lag_name(f"weekday_{c}", 0)) for c, d in dates.items()],
     )
 
 
@@ -71,23 +68,22 @@ def balance_window(
     ``snapshot=None`` gives every month at once, by one shuffle chain for the whole backfill.
     """
     wide = balance_history(df, snapshot, since, until)
-    anchor = [c for c in wide.columns if c.endswith("_lag0")]
-    out = [quoted(c).alias(c.removesuffix("_lag0")) for c in anchor]
+    out = [named(c, c.removesuffix("_lag0")) for c in wide.columns if c.endswith("_lag0")]
     for span in SPANS:
         out += [
-            row_max(lag_columns("mx", span)).alias(f"max_bal_{span}mth"),
-            row_min(lag_columns("mn", span)).alias(f"min_bal_{span}mth"),
-            row_mean(lag_columns("avg", span)).alias(f"avg_bal_{span}mth"),
+            named(row_max(lag_refs("mx", span)), f"max_bal_{span}mth"),
+            named(row_min(lag_refs("mn", span)), f"min_bal_{span}mth"),
+            named(row_mean(lag_refs("avg", span)), f"avg_bal_{span}mth"),
         ]
-    averages = lag_columns("avg", 3)
+    averages = lag_refs("avg", 3)
     for i in range(2):
-        change = averages[i] - averages[i + 1]
+        change = f"({averages[i]} - {averages[i + 1]})"
         tag = f"t{i + 1}-{i + 2}"
         out += [
-            change.alias(f"delta_avg_bal_{tag}"),
-            ratio_or_null(change, averages[i + 1]).alias(f"ratio_avg_bal_{tag}"),
+            named(change, f"delta_avg_bal_{tag}"),
+            named(ratio_or_null(change, averages[i + 1]), f"ratio_avg_bal_{tag}"),
         ]
-    return wide.select(quoted(KEY), F.col(MONTH), *out)
+    return wide.selectExpr(KEY, MONTH, *out)
 
 
 def _with_loans(balances: DataFrame, loans: DataFrame) -> DataFrame:
@@ -97,8 +93,8 @@ def _with_loans(balances: DataFrame, loans: DataFrame) -> DataFrame:
 
 
 def _less_loan(df: DataFrame, targets: Sequence[str]) -> DataFrame:
-    deducted = [(quoted(c) - F.col("loan_to_debit")).alias(f"{c}_loan") for c in targets]
-    return df.select("*", *deducted).drop("loan_to_debit")
+    deducted = [named(f"{ref(c)} - loan_to_debit", f"{c}_loan") for c in targets]
+    return df.selectExpr("*", *deducted).drop("loan_to_debit")
 
 
 def loan_targets(columns: Sequence[str]) -> list[str]:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.functions.dates import ISO_DATE, age_in_months, clamp_open_date, parse_date
+from monthgrain.functions.dates import ISO_DATE, age_in_months, clamp_open_date
 from monthgrain.functions.rowwise import capped, clipped, ratio_or_null, row_max, row_min, strict_sum
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
+from monthgrain.operators.cleaning import as_dates
 from monthgrain.operators.history import KEY, attach_history, lag_name
 from monthgrain.operators.snapshots import scan_snapshot
 from monthgrain.sources.manifest import OPEN_DATES
@@ -56,15 +57,18 @@ def product_counts(
     """
     rows = _at(df, snapshot).withColumnsRenamed({"loanmort_s": "loanmort", "loanall_s": "loanall"})
     if "totph" in rows.columns and "t12" in rows.columns:
-        rows = rows.where(F.col("totph") != F.col("t12"))
-    cut = {c: capped(quoted(c), PRODUCT_CAP, 0) for c in _counters(rows, PRODUCTS)}
-    cut["totph"] = capped(F.col("totph"), TOTAL_CAP, TOTAL_CAP)
-
-    def total(products: Sequence[int], cap: int) -> Column:
-        return F.least(F.lit(float(cap)), strict_sum([cut[c] for c in _counters(rows, products)]))
-
-    return rows.withColumns(
-        {**cut, "tot_saving": total(saving, SAVING_CAP), "tot_loan": total(loan, LOAN_CAP)}
+        rows = rows.where("totph <> t12")
+    cut = {c: capped(c, PRODUCT_CAP, 0) for c in _counters(rows, PRODUCTS)}
+    cut["totph"] = capped("totph", TOTAL_CAP, TOTAL_CAP)
+    rows = rows.selectExpr(*[named(cut[c], c) if c in cut else ref(c) for c in rows.columns])
+
+    def total(products: Sequence[int], cap: int) -> str:
+        return f"least({cap}D, {strict_sum(_counters(rows, products))})"
+
+    return rows.selectExpr(
+        "*",
+        named(total(saving, SAVING_CAP), "tot_saving"),
+        named(total(loan, LOAN_CAP), "tot_loan"),
     )
 
 
@@ -72,26 +76,24 @@ def product_vintages(
     df: DataFrame, snapshot: str | None = None, formats: Sequence[str] = (ISO_DATE,)
 ) -> DataFrame:
     """Ages of the first and last opened accounts in place of the eight open dates."""
-    rows = _at(df, snapshot)
-    month = F.col(MONTH)
-    dates = {
-        c: clamp_open_date(parse_date(quoted(c), formats), month)
-        for c in OPEN_DATES
-        if c in rows.columns
-    }
-    first = [dates[c] for c in _FIRST_OPENED if c in dates]
-    last = [dates[c] for c in _LAST_OPENED if c in dates]
+    rows = as_dates(_at(df, snapshot), OPEN_DATES, formats)
+    dates = [c for c in OPEN_DATES if c in rows.columns]
+    kept = [ref(c) for c in rows.columns if c not in dates]
+    clamped = rows.selectExpr(*kept, *[named(clamp_open_date(c, MONTH), c) for c in dates])
+    first = [c for c in _FIRST_OPENED if c in dates]
+    last = [c for c in _LAST_OPENED if c in dates]
     ages = {}
     if "slstopn" in dates:
-        ages["saving_acct_vint_l"] = age_in_months(dates["slstopn"], month)
+        ages["saving_acct_vint_l"] = "slstopn"
     if "sfstopn" in dates:
-        ages["saving_acct_vint_f"] = age_in_months(dates["sfstopn"], month)
+        ages["saving_acct_vint_f"] = "sfstopn"
     if last:
-        ages["all_acct_vint_l"] = age_in_months(row_max(last), month)
+        ages["all_acct_vint_l"] = row_max(last)
     if first:
-        ages["all_acct_vint_f"] = age_in_months(row_min(first), month)
-    kept = [quoted(c) for c in rows.columns if c not in OPEN_DATES]
-    return rows.select(*kept, *[age.alias(n) for n, age in ages.items()])
+        ages["all_acct_vint_f"] = row_min(first)
+    return clamped.selectExpr(
+        *kept, *[named(age_in_months(day, MONTH), n) for n, day in ages.items()]
+    )
 
 
 def bank_ph(
@@ -105,17 +107,19 @@ def loan_diff(
     df: DataFrame, snapshot: str | None = None, since: str | None = None, until: str | None = None
 ) -> DataFrame:
     """Loan increases over four months and the monthly debit expected from the loan."""
-    wide = attach_history(
-        df, {lag: ("loanall_s",) for lag in range(4)}, snapshot, since=since, until=until
-    )
-    loans = [quoted(lag_name("loanall_s", lag)) for lag in range(4)]
-    grew = [F.when(loans[i] > loans[i + 1], 1).otherwise(0) for i in range(3)]
-    return wide.select(
-        quoted(KEY),
-        F.col(MONTH),
-        strict_sum(grew, 0).alias("loan_recent_inc_count"),
-        (loans[0] * LOAN_DEBIT_RATE).alias("loan_to_debit"),
-        *[flag.alias(f"loan_inc_flag_{i}") for i, flag in enumerate(grew)],
+    lags = {lag: ("loanall_s",) for lag in range(4)}
+    wide = attach_history(df, lags, snapshot, since=since, until=until)
+    loans = [lag_name("loanall_s", lag) for lag in range(4)]
+    flags = {
+        f"loan_inc_flag_{i}": f"int(coalesce({loans[i]} > {loans[i + 1]}, false))"
+        for i in range(3)
+    }
+    return wide.selectExpr(
+        KEY,
+        MONTH,
+        named(strict_sum(list(flags.values()), "0"), "loan_recent_inc_count"),
+        named(f"{loans[0]} * {LOAN_DEBIT_RATE}D", "loan_to_debit"),
+        *[named(flag, n) for n, flag in flags.items()],
     )
 
 
@@ -127,15 +131,14 @@ def saving_acct(
 ) -> DataFrame:
     """Share of saving accounts without a debit card; 1.0 where it cannot be told."""
     rows = _at(df, snapshot)
-    total = strict_sum([quoted(c) for c in _counters(rows, saving)])
-    without = strict_sum([quoted(c) for c in _counters(rows, undebit)])
-    return rows.select(
+    totals = rows.selectExpr(
         KEY,
         MONTH,
-        total.alias("tot_saving"),
-        without.alias("tot_undebit_saving"),
-        F.coalesce(ratio_or_null(without, total), F.lit(1.0)).alias("ratio_undebit_saving"),
+        named(strict_sum(_counters(rows, saving)), "tot_saving"),
+        named(strict_sum(_counters(rows, undebit)), "tot_undebit_saving"),
     )
+    ratio = ratio_or_null("tot_undebit_saving", "tot_saving")
+    return totals.selectExpr("*", named(f"coalesce({ratio}, 1D)", "ratio_undebit_saving"))
 
 
 def axa_avr(df: DataFrame, snapshot: str, accuracy: int | None = 10_000) -> DataFrame:
@@ -152,12 +155,12 @@ def axa_avr(df: DataFrame, snapshot: str, accuracy: int | None = 10_000) -> Data
         median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY nb_accts_sd)")
     else:
         median = F.percentile_approx(accounts, 0.5, accuracy)
-    typical = rows.agg(median.cast("double").alias("median")).scalar()
+    typical = rows.agg(median).scalar()
     totals = rows.groupBy(KEY, MONTH).agg(
-        F.sum(F.coalesce(F.col("sum_end_bal"), F.lit(0.0))).alias("sum_end_bal"),
+        F.expr("sum(coalesce(sum_end_bal, 0D)) AS sum_end_bal"),
         F.sum(F.coalesce(accounts, typical)).alias("nb_accts_sd"),
     )
-    return totals.withColumn("nb_accts_sd", clipped(accounts, ACCOUNT_CAP))
+    return totals.withColumn("nb_accts_sd", F.expr(clipped("nb_accts_sd", ACCOUNT_CAP)))
 
 
 def card_types(df: DataFrame, snapshot: str | None = None) -> DataFrame:

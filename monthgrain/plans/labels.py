@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
 from monthgrain.operators.history import KEY
 from monthgrain.operators.snapshots import scan_snapshot
@@ -14,6 +14,8 @@ from monthgrain.operators.snapshots import scan_snapshot
 CONTACTED = 202
 CONVERTED = 901
 
+_ACCOUNT = "_account"
+
 
 def call_labels(
     calls: DataFrame,
@@ -29,20 +31,16 @@ def call_labels(
     One row per call and mapped customer, or with ``per_customer`` one row per customer
     holding the best outcome. Outcomes that are not whole numbers count as unanswered.
     """
-    outcome = F.col("callid").try_cast("int")
+    outcome = "try_cast(callid AS int)"
     labels = (
         scan_snapshot(calls, snapshot)
-        .where(outcome >= CONTACTED)
-        .select(
-            quoted(call_key).alias("_account"),
-            F.when(outcome >= CONVERTED, 1).otherwise(0).alias("label"),
-        )
+        .where(f"{outcome} >= {CONTACTED}")
+        .selectExpr(named(ref(call_key), _ACCOUNT), f"int({outcome} >= {CONVERTED}) AS label")
     )
     if per_customer:
         # One row per account before the join: an account with many calls stays small.
-        labels = labels.groupBy("_account").agg(F.max("label").alias("label"))
-    customers = mapping.select(quoted(mapping_key).alias("_account"), quoted(KEY))
-    joined = labels.join(customers, "_account")
+        labels = labels.groupBy(_ACCOUNT).agg(F.max("label").alias("label"))
+    joined = labels.join(mapping.selectExpr(named(ref(mapping_key), _ACCOUNT), KEY), _ACCOUNT)
     if per_customer:
         joined = joined.groupBy(KEY).agg(F.max("label").alias("label"))
-    return joined.select(quoted(KEY), F.col("label"), F.lit(snapshot).alias(MONTH))
+    return joined.select(KEY, "label", F.lit(snapshot).alias(MONTH))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthgrain.functions.rowwise import null_safe_sum, share
-from monthgrain.functions.text import quoted
+from monthgrain.functions.rowwise import null_safe_sum, or_zero, share
+from monthgrain.functions.text import named, ref, text
 from monthgrain.months import MONTH
 from monthgrain.operators.cleaning import fill_numbers, rename_if_absent
 from monthgrain.operators.history import KEY, Lags, attach_history, lag_name
@@ -58,36 +58,26 @@ def _lags(anchor: Sequence[str], older: Sequence[str]) -> Lags:
     return {0: anchor} | {lag: older for lag in range(1, 6)}
 
 
-def _with_trends(
-    wide: DataFrame, anchor: Mapping[str, Column], trends: Mapping[str, str]
-) -> DataFrame:
-    """Anchor columns, then changes and 3/6-month statistics of the ``trends`` measures.
+def _anchor_named(wide: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add the anchor's columns under their own names."""
+    return wide.selectExpr("*", *[named(ref(lag_name(n, 0)), n) for n in names])
 
-    ``trends`` maps a measure to the stem its outputs are named by.
-    """
+
+def _trends(measures: Mapping[str, str]) -> list[str]:
+    """Changes and 3/6-month statistics; ``measures`` maps each to the stem of its outputs."""
     changes, stats = [], []
-    for source, stem in trends.items():
+    for source, stem in measures.items():
         changes += [change_between(source, stem, 0, 2), change_between(source, stem, 2, 5)]
         stats += span_stats(source, stem)
-    return wide.select(
-        quoted(KEY), F.col(MONTH), *[c.alias(n) for n, c in anchor.items()], *changes, *stats
-    )
-
+    return changes + stats
 
-def _anchor(names: Sequence[str]) -> dict[str, Column]:
-    return {n: quoted(lag_name(n, 0)) for n in names}
 
-
-def _numbers(df: DataFrame, leave_out: Sequence[str]) -> list[str]:
-    return [
-        f.name
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.NumericType) and f.name not in leave_out
-    ]
+def _without_lags(df: DataFrame) -> list[str]:
+    return [ref(c) for c in df.columns if "_lag" not in c]
 
 
-def _zero_filled(name: str) -> Column:
-    return F.coalesce(quoted(name), F.lit(0.0))
+def _zero_filled(names: Sequence[str]) -> dict[str, str]:
+    return {n: or_zero(ref(n)) for n in names}
 
 
 # Net flow ------------------------------------------------------------------------------------
@@ -100,39 +90,46 @@ def trx_net(
     rows = fill_numbers(rename_if_absent(df, "cif", KEY))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
     lags = _lags(names, ("sum_db", "sum_cd"))
-    wide = attach_history(rows, lags, snapshot, since=since, until=until)
-    now = _anchor(names)
-    now["sum_cd_db_diff"] = now["sum_cd"] - now["sum_db"]
-    now["num_cd_db_diff"] = now["num_cd"] - now["num_db"]
-    return _with_trends(wide, now, {"sum_db": "db", "sum_cd": "cd"})
+    wide = _anchor_named(attach_history(rows, lags, snapshot, since=since, until=until), names)
+    return wide.selectExpr(
+        *_without_lags(wide),
+        "sum_cd - sum_db AS sum_cd_db_diff",
+        "num_cd - num_db AS num_cd_db_diff",
+        *_trends({"sum_db": "db", "sum_cd": "cd"}),
+    )
 
 
 # Outflow -------------------------------------------------------------------------------------
 
 
-def _outflow_rows(df: DataFrame, measures: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
-    rows = rename_if_absent(df, "cifno_pengirim", KEY)
-    if measures is None:
-        measures = _numbers(rows, (KEY, "cifno_pengirim", "rekening_pengirim", MONTH))
-    return rows, list(measures)
+def _outflow_measures(rows: DataFrame, measures: Sequence[str] | None) -> list[str]:
+    """The measures asked for, or else all numbers."""
+    if measures is not None:
+        return list(measures)
+    ids = (KEY, "cifno_pengirim", "rekening_pengirim", MONTH)
+    return [
+        f.name
+        for f in rows.schema.fields
+        if isinstance(f.dataType, T.NumericType) and f.name not in ids
+    ]
 
 
-def _with_outflow_shares(measures: Mapping[str, Column]) -> dict[str, Column]:
-    total = measures[OUTFLOW_TOTAL]
-    shares = {f"{c}_per": share(measures[c], total) for c in OUTFLOW_CHANNELS if c in measures}
-    return {**measures, **shares}
+def _outflow_shares(measures: Sequence[str]) -> list[str]:
+    return [
+        named(share(c, OUTFLOW_TOTAL), f"{c}_per") for c in OUTFLOW_CHANNELS if c in measures
+    ]
 
 
 def outflow_shares(
     df: DataFrame, snapshot: str | None = None, measures: Sequence[str] | None = None
 ) -> DataFrame:
     """Outflow summed by customer and month, and each channel's share of the total."""
-    rows, measures = _outflow_rows(df, measures)
+    rows = rename_if_absent(df, "cifno_pengirim", KEY)
+    measures = _outflow_measures(rows, measures)
     if snapshot is not None:
         rows = scan_snapshot(rows, snapshot)
-    totals = rows.groupBy(KEY, MONTH).agg(*[F.sum(_zero_filled(c)).alias(c) for c in measures])
-    columns = _with_outflow_shares({c: quoted(c) for c in measures})
-    return totals.select(KEY, MONTH, *[c.alias(n) for n, c in columns.items()])
+    sums = [F.expr(named(f"sum({v})", n)) for n, v in _zero_filled(measures).items()]
+    return rows.groupBy(KEY, MONTH).agg(*sums).selectExpr("*", *_outflow_shares(measures))
 
 
 def trx_outflow(
@@ -143,17 +140,15 @@ def trx_outflow(
     until: str | None = None,
 ) -> DataFrame:
     """Outflow and shares of the anchor month, and the trend of the total."""
-    rows, measures = _outflow_rows(df, measures)
-    wide = attach_history(
-        rows,
-        _lags(measures, (OUTFLOW_TOTAL,)),
-        snapshot,
-        sums={c: _zero_filled(c) for c in measures},
-        since=since,
-        until=until,
+    rows = rename_if_absent(df, "cifno_pengirim", KEY)
+    measures = _outflow_measures(rows, measures)
+    lags = _lags(measures, (OUTFLOW_TOTAL,))
+    sums = _zero_filled(measures)
+    wide = attach_history(rows, lags, snapshot, sums=sums, since=since, until=until)
+    wide = _anchor_named(wide, measures)
+    return wide.selectExpr(
+        *_without_lags(wide), *_outflow_shares(measures), *_trends({OUTFLOW_TOTAL: "trxout"})
     )
-    now = _with_outflow_shares(_anchor(measures))
-    return _with_trends(wide, now, {OUTFLOW_TOTAL: "trxout"})
 
 
 # Purchases -----------------------------------------------------------------------------------
@@ -161,11 +156,10 @@ def trx_outflow(
 
 def purchase_types(df: DataFrame, snapshot: str) -> list[str]:
     """Sorted transaction types of a month, without null. Runs a small aggregation."""
-    kind = F.col("transaction_type")
     found = (
         scan_snapshot(df, snapshot)
-        .where(kind.isNotNull())
-        .select(kind)
+        .where("transaction_type IS NOT NULL")
+        .select("transaction_type")
         .distinct()
         .take(MOST_PURCHASE_TYPES + 1)
     )
@@ -174,23 +168,24 @@ def purchase_types(df: DataFrame, snapshot: str) -> list[str]:
     return sorted(r[0] for r in found)
 
 
-def _purchase_measures(types: Sequence[str]) -> dict[str, Column]:
+def _purchase_measures(types: Sequence[str]) -> dict[str, str]:
     """Row expressions to add up: one pair per type, and totals over all types.
 
     The totals cover types that are not listed, too.
     """
-    count, amount = _zero_filled("frek"), _zero_filled("nominal")
+    count, amount = or_zero("frek"), or_zero("nominal")
     measures = {}
     for t in types:
-        of_type = F.col("transaction_type") == t
-        measures[f"{t}_freq"] = F.when(of_type, count).otherwise(F.lit(0.0))
-        measures[f"{t}_amt"] = F.when(of_type, amount).otherwise(F.lit(0.0))
+        of_type = f"transaction_type = {text(t)}"
+        measures[f"{t}_freq"] = f"CASE WHEN {of_type} THEN {count} ELSE 0D END"
+        measures[f"{t}_amt"] = f"CASE WHEN {of_type} THEN {amount} ELSE 0D END"
     return {**measures, "sum_purchase_freq": count, "sum_purchase_amt": amount}
 
 
-def _with_purchase_shares(measures: Mapping[str, Column], types: Sequence[str]) -> dict[str, Column]:
-    total = measures["sum_purchase_amt"]
-    return {**measures, **{f"{t}_amt_per": share(measures[f"{t}_amt"], total) for t in types}}
+def _purchase_shares(types: Sequence[str]) -> list[str]:
+    return [
+        named(share(ref(f"{t}_amt"), "sum_purchase_amt"), f"{t}_amt_per") for t in types
+    ]
 
 
 def purchase_pivot(df: DataFrame, types: Sequence[str], snapshot: str | None = None) -> DataFrame:
@@ -202,10 +197,8 @@ def purchase_pivot(df: DataFrame, types: Sequence[str], snapshot: str | None = N
     rows = rename_if_absent(df, "customer_no", KEY)
     if snapshot is not None:
         rows = scan_snapshot(rows, snapshot)
-    measures = _purchase_measures(types)
-    pivoted = rows.groupBy(KEY, MONTH).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
-    columns = _with_purchase_shares({n: quoted(n) for n in measures}, types)
-    return pivoted.select(KEY, MONTH, *[c.alias(n) for n, c in columns.items()])
+    sums = [F.expr(named(f"sum({v})", n)) for n, v in _purchase_measures(types).items()]
+    return rows.groupBy(KEY, MONTH).agg(*sums).selectExpr("*", *_purchase_shares(types))
 
 
 def trx_outflow_purchase(
@@ -224,42 +217,53 @@ def trx_outflow_purchase(
         if snapshot is None:
             raise ValueError("transaction types must be given when there is no single anchor")
         types = purchase_types(rows, snapshot)
-    measures = _purchase_measures(types)
-    totals = ("sum_purchase_freq", "sum_purchase_amt")
-    wide = attach_history(
-        rows, _lags(list(measures), totals), snapshot, sums=measures, since=since, until=until
+    sums = _purchase_measures(types)
+    lags = _lags(list(sums), ("sum_purchase_freq", "sum_purchase_amt"))
+    wide = attach_history(rows, lags, snapshot, sums=sums, since=since, until=until)
+    wide = _anchor_named(wide, list(sums))
+    return wide.selectExpr(
+        *_without_lags(wide),
+        *_purchase_shares(types),
+        *_trends({"sum_purchase_amt": "purchase_amt"}),
     )
-    now = _with_purchase_shares(_anchor(list(measures)), types)
-    return _with_trends(wide, now, {"sum_purchase_amt": "purchase_amt"})
 
 
 # Card payments -------------------------------------------------------------------------------
 
+_EDC_MEASURES = ("freq", "sv")
+_EDC_TOTALS = tuple(f"sum_{m}" for m in _EDC_MEASURES)
 
-def _edc_categories(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> set[str]:
-    names = (f"{c}_{m}" for listed in groups.values() for c in listed for m in ("freq", "sv"))
-    return {n for n in names if n in df.columns}
 
+def _group_sums(columns: Sequence[str], groups: Mapping[str, Sequence[str]]) -> dict[str, str]:
+    """Sums over the categories of each group that are present."""
+    return {
+        f"{group}_{m}": null_safe_sum([f"{c}_{m}" for c in listed if f"{c}_{m}" in columns])
+        for m in _EDC_MEASURES
+        for group, listed in groups.items()
+    }
+
+
+def _edc_totals(columns: Sequence[str], groups: Mapping[str, Sequence[str]]) -> list[str]:
+    """Grand totals straight from the categories."""
+    sums = _group_sums(columns, groups)
+    return [
+        named(" + ".join(sums[f"{g}_{m}"] for g in groups), f"sum_{m}") for m in _EDC_MEASURES
+    ]
 
-def _edc_columns(
-    value: Mapping[str, Column], groups: Mapping[str, Sequence[str]]
-) -> dict[str, Column]:
-    """All payment columns by name, then group sums, totals and group shares.
+
+def _rolled_up(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Add group sums and their shares of the total ``sum_sv``.
 
     Some groups are named like one of their categories; the group sum takes that column's
     place. Sums are always made from the categories themselves.
     """
-    grouped = {
-        f"{group}_{m}": null_safe_sum([value[f"{c}_{m}"] for c in listed if f"{c}_{m}" in value])
-        for group, listed in groups.items()
-        for m in ("freq", "sv")
-    }
-    totals = {
-        f"sum_{m}": null_safe_sum([grouped[f"{group}_{m}"] for group in groups])
-        for m in ("freq", "sv")
-    }
-    shares = {f"{g}_sv_per": share(grouped[f"{g}_sv"], totals["sum_sv"]) for g in groups}
-    return {**value, **grouped, **totals, **shares}
+    sums = _group_sums(df.columns, groups)
+    rolled = df.selectExpr(
+        *[ref(c) for c in df.columns if c not in sums], *[named(v, n) for n, v in sums.items()]
+    )
+    return rolled.selectExpr(
+        "*", *[named(share(f"{g}_sv", "sum_sv"), f"{g}_sv_per") for g in groups]
+    )
 
 
 def edc_groups(
@@ -269,9 +273,7 @@ def edc_groups(
 ) -> DataFrame:
     """Card payments of a month rolled up from categories to groups."""
     rows = fill_numbers(df if snapshot is None else scan_snapshot(df, snapshot))
-    names = [c for c in rows.columns if c not in (KEY, MONTH)]
-    columns = _edc_columns({c: quoted(c) for c in names}, groups)
-    return rows.select(KEY, MONTH, *[c.alias(n) for n, c in columns.items()])
+    return _rolled_up(rows.selectExpr("*", *_edc_totals(rows.columns, groups)), groups)
 
 
 def debit_edc(
@@ -286,12 +288,11 @@ def debit_edc(
     Older months carry only their two totals through the shuffle; groups and shares of the
     anchor month are made from its categories afterwards.
     """
-    rows = fill_numbers(df)
+    filled = fill_numbers(df)
+    rows = filled.selectExpr("*", *_edc_totals(filled.columns, groups))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
-    totals = ("sum_sv", "sum_freq")
-    by_name = _edc_columns({c: quoted(c) for c in names}, groups)
-    rows = rows.select("*", *[by_name[t].alias(t) for t in totals])
-    wide = attach_history(rows, _lags([*names, *totals], totals), snapshot, since=since, until=until)
-    now = _edc_columns(_anchor(names), groups)
-    now.update(_anchor(totals))
-    return _with_trends(wide, now, {"sum_sv": "sv", "sum_freq": "freq"})
+    wide = attach_history(rows, _lags(names, _EDC_TOTALS), snapshot, since=since, until=until)
+    wide = _rolled_up(_anchor_named(wide, names), groups)
+    return wide.selectExpr(
+        *_without_lags(wide), *_trends({"sum_sv": "sv", "sum_freq": "freq"})
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from monthgrain.functions.text import quoted
+from monthgrain.functions.text import ref, text
 from monthgrain.months import MONTH
 from monthgrain.operators.merge import duplicated_keys, merge_by_key
 from monthgrain.sources.files import file_system, path_exists
@@ -98,7 +98,7 @@ class Warehouse:
             folders = [f"{path}/{MONTH}={m}" for m in self.stored_months(layer, table, months)]
             if not folders:
                 raise ValueError(f"{layer}/{table} has none of the months {', '.join(months)}")
-        return reader.parquet(*folders).withColumn(MONTH, quoted(MONTH).cast("string"))
+        return reader.parquet(*folders).withColumn(MONTH, F.col(MONTH).cast("string"))
 
     def stored_months(self, layer: str, table: str, months: Sequence[str]) -> list[str]:
         """Those of ``months`` that the table holds."""
@@ -155,22 +155,14 @@ class Warehouse:
         """Make a stored table known to the catalog, with its description; returns its name."""
         full_name = f"{database}.{name}"
         columns = ", ".join(
-            f"{_sql_name(f.name)} {f.dataType.simpleString()}"
+            f"{ref(f.name)} {f.dataType.simpleString()}"
             for f in self.read(layer, table).schema.fields
         )
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {full_name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({MONTH}) LOCATION {_sql_text(self.path(layer, table))} "
-            f"COMMENT {_sql_text(comment)}"
+            f"PARTITIONED BY ({MONTH}) LOCATION {text(self.path(layer, table))} "
+            f"COMMENT {text(comment)}"
         )
         self.spark.catalog.recoverPartitions(full_name)
         self.spark.catalog.refreshTable(full_name)
         return full_name
-
-
-def _sql_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
