@@ -5,8 +5,8 @@ month, as the clean layer would hold them. That is not timed. Each query is then
 run to the end, its rows going nowhere; the best of ``BENCH_RUNS`` runs counts, so that what
 is compared is the work and not the warming up.
 
-``compare`` times the same six-month history of balances in two other ways: as a chain of
-left joins of one scan per month, and as range frames over all months.
+``compare`` times the same six-month history of balances in other ways: folded before the
+shuffle or not, as a chain of left joins of one scan per month, and over all months.
 """
 
 from __future__ import annotations
@@ -81,10 +81,10 @@ def main() -> None:
         return warehouse.read(CLEAN, name, months_back(ANCHOR, months) if months else None)
 
     def loans() -> DataFrame:
-        return holdings.loan_diff(read("phsumm", 4), ANCHOR)
+        return holdings.loan_diff(read("phsumm", 4), ANCHOR, unique=True)
 
     def window() -> DataFrame:
-        return balance.balance_window(read("cifsumm", 6), ANCHOR)
+        return balance.balance_window(read("cifsumm", 6), ANCHOR, unique=True)
 
     def upserted() -> DataFrame:
         table = f"amounts_{time.time_ns()}"
@@ -94,11 +94,13 @@ def main() -> None:
 
     queries: dict[str, Callable[[], DataFrame]] = {
         "balance_window": window,
-        "balance_window_backfill": lambda: balance.balance_window(read("cifsumm")),
+        "balance_window_backfill": lambda: balance.balance_window(read("cifsumm"), unique=True),
         "balance_loan": lambda: balance.balance_loan(window(), loans()),
         "balance_deduct": lambda: balance.balance_deduct(read("cifsumm", 1), loans(), ANCHOR),
-        "trx_net": lambda: transactions.trx_net(read("axa_tran_net", 6), ANCHOR),
-        "trx_net_backfill": lambda: transactions.trx_net(read("axa_tran_net")),
+        "trx_net": lambda: transactions.trx_net(
+            read("axa_tran_net", 6), ANCHOR, unique=True
+        ),
+        "trx_net_backfill": lambda: transactions.trx_net(read("axa_tran_net"), unique=True),
         "outflow_features": lambda: transactions.trx_outflow(read("trx_outflow", 6), ANCHOR),
         "outflow_backfill": lambda: transactions.trx_outflow(read("trx_outflow")),
         "purchase_features": lambda: transactions.trx_outflow_purchase(
@@ -107,8 +109,12 @@ def main() -> None:
         "purchase_backfill": lambda: transactions.trx_outflow_purchase(
             read("trx_outflow_payment_purchase"), None, PURCHASE_TYPES
         ),
-        "edc_features": lambda: transactions.debit_edc(read("debitcard_trx_edc_cif", 6), ANCHOR),
-        "edc_backfill": lambda: transactions.debit_edc(read("debitcard_trx_edc_cif")),
+        "edc_features": lambda: transactions.debit_edc(
+            read("debitcard_trx_edc_cif", 6), ANCHOR, unique=True
+        ),
+        "edc_backfill": lambda: transactions.debit_edc(
+            read("debitcard_trx_edc_cif"), unique=True
+        ),
         "bank_ph": lambda: holdings.bank_ph(read("phsumm", 1), ANCHOR),
         "loan_diff": loans,
         "saving_account": lambda: holdings.saving_acct(read("phsumm")),
@@ -123,8 +129,12 @@ def main() -> None:
     }
     compare: dict[str, Callable[[], DataFrame]] = {
         "history_one_scan": lambda: balance.balance_history(read("cifsumm", 6), ANCHOR),
+        "history_one_scan_unique": lambda: balance.balance_history(
+            read("cifsumm", 6), ANCHOR, unique=True
+        ),
         "history_six_joins": lambda: joined_history(read),
         "history_all_months": lambda: balance.balance_history(read("cifsumm")),
+        "history_all_months_unique": lambda: balance.balance_history(read("cifsumm"), unique=True),
     }
 
     def timed(query: Callable[[], DataFrame]) -> float:

@@ -12,9 +12,15 @@ months may be missing.
   and month, so that a window over one customer is never larger than the number of months,
   and range frames over the month number then pick the lags.
 
+Where the rows are known to be unique by customer and month (``unique=True``), as after the
+check of the cleaning job, there is nothing to fold before the shuffle: rows travel as they
+are and are put side by side behind it, which saves the wide partial rows, or the first of
+the two shuffles. Without that knowledge one id might hold a large part of all rows, so
+the default folds first.
+
 The key of the result is (customer, month). Rows that break it, i.e. two rows of one customer
 in one month where rows are not to be added up, or a customer id that is null, stop the run
-with an error. They are neither dropped nor multiplied.
+with an error, in either mode. They are neither dropped nor multiplied.
 
 Values should be numbers or dates: those keep the aggregation a hash aggregation, while text
 makes it sort.
@@ -38,6 +44,7 @@ _LAG = "_lag"
 _ROWS = "_rows"
 _SEEN = "_seen"
 _INDEX = "_month_index"
+_BEFORE = "_month_before"
 
 
 def lag_name(name: str, lag: int) -> str:
@@ -50,6 +57,7 @@ def attach_history(
     snapshot: str | None = None,
     *,
     sums: Mapping[str, str] | None = None,
+    unique: bool = False,
     key: str = KEY,
     since: str | None = None,
     until: str | None = None,
@@ -61,13 +69,16 @@ def attach_history(
 
     ``sums`` maps names to row expressions that are added up per customer and month; it is
     for inputs with several rows per customer and month. All names in ``lags`` must be among
-    them. Without it, names are columns of ``df`` and the key must be unique.
+    them. Without it, names are columns of ``df`` and the key must be unique; ``unique`` says
+    that this has been checked.
     """
     if 0 not in lags:
         raise ValueError("lag 0, the anchor month itself, must be listed")
+    if unique and sums is not None:
+        raise ValueError("rows to be added up are not unique")
     if snapshot is None:
-        return _every_anchor(df, lags, sums, key, since, until)
-    return _one_anchor(df, lags, sums, key, snapshot)
+        return _every_anchor(df, lags, sums, unique, key, since, until)
+    return _one_anchor(df, lags, sums, unique, key, snapshot)
 
 
 def _values(lags: Lags, sums: Mapping[str, str] | None) -> dict[str, str]:
@@ -87,7 +98,12 @@ def _checked(key: str, duplicated: str) -> str:
 
 
 def _one_anchor(
-    df: DataFrame, lags: Lags, sums: Mapping[str, str] | None, key: str, snapshot: str
+    df: DataFrame,
+    lags: Lags,
+    sums: Mapping[str, str] | None,
+    unique: bool,
+    key: str,
+    snapshot: str,
 ) -> DataFrame:
     months = months_back(snapshot, max(lags) + 1)
     rows = df.where(F.col(MONTH).isin([months[i] for i in lags])).selectExpr(
@@ -95,6 +111,8 @@ def _one_anchor(
         named(f"{month_number(snapshot)} - {month_index(MONTH)}", _LAG),
         *[named(value, n) for n, value in _values(lags, sums).items()],
     )
+    if unique:
+        rows = rows.repartition(F.col(ref(key)))
     pick = "max" if sums is None else "sum"
     picked = [
         F.expr(named(f"{pick}(CASE WHEN {_LAG} = {lag} THEN {ref(n)} END)", lag_name(n, lag)))
@@ -120,6 +138,7 @@ def _every_anchor(
     df: DataFrame,
     lags: Lags,
     sums: Mapping[str, str] | None,
+    unique: bool,
     key: str,
     since: str | None,
     until: str | None,
@@ -128,27 +147,36 @@ def _every_anchor(
         df = df.where(F.col(MONTH) >= months_back(since, max(lags) + 1)[-1])
     if until is not None:
         df = df.where(F.col(MONTH) <= until)
-    fold = "max" if sums is None else "sum"
-    duplicated = f"{_ROWS} > 1" if sums is None else "false"
-    monthly = (
-        df.groupBy(ref(key), MONTH)
-        .agg(
-            *[F.expr(named(f"{fold}({v})", n)) for n, v in _values(lags, sums).items()],
-            F.expr(f"count(*) AS {_ROWS}"),
+    values = _values(lags, sums)
+    number = named(month_index(MONTH), _INDEX)
+    if unique:
+        monthly = df.selectExpr(ref(key), MONTH, number, *[ref(n) for n in values])
+    else:
+        fold = "max" if sums is None else "sum"
+        duplicated = f"{_ROWS} > 1" if sums is None else "false"
+        monthly = (
+            df.groupBy(ref(key), MONTH)
+            .agg(
+                *[F.expr(named(f"{fold}({v})", n)) for n, v in values.items()],
+                F.expr(f"count(*) AS {_ROWS}"),
+            )
+            .where(_checked(key, duplicated))
+            .selectExpr("*", number)
         )
-        .where(_checked(key, duplicated))
-        .selectExpr("*", named(month_index(MONTH), _INDEX))
-    )
+    by_customer = f"PARTITION BY {ref(key)} ORDER BY {_INDEX}"
 
     def picked(name: str, lag: int) -> str:
         if lag == 0:
             return named(ref(name), lag_name(name, lag))
         frame = f"RANGE BETWEEN {lag} PRECEDING AND {lag} PRECEDING"
-        over = f"PARTITION BY {ref(key)} ORDER BY {_INDEX} {frame}"
-        return named(f"max({ref(name)}) OVER ({over})", lag_name(name, lag))
+        return named(f"max({ref(name)}) OVER ({by_customer} {frame})", lag_name(name, lag))
 
     out = monthly.selectExpr(
-        ref(key), MONTH, *[picked(n, lag) for lag, listed in lags.items() for n in listed]
+        ref(key), MONTH, *[picked(n, lag) for lag, listed in lags.items() for n in listed],
+        *([f"lag({_INDEX}) OVER ({by_customer}) AS {_BEFORE}", _INDEX] if unique else []),
     )
+    if unique:
+        # Of two rows in one month, one follows the other.
+        out = out.where(_checked(key, f"{_BEFORE} <=> {_INDEX}")).drop(_BEFORE, _INDEX)
     # The filter runs after the window, so the first anchors still see their history.
     return out.where(F.col(MONTH) >= since) if since is not None else out

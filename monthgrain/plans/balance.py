@@ -43,7 +43,11 @@ def clean_balances(df: DataFrame) -> DataFrame:
 
 
 def balance_history(
-    df: DataFrame, snapshot: str | None = None, since: str | None = None, until: str | None = None
+    df: DataFrame,
+    snapshot: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Six months of balances side by side, with weekdays for the anchor month only.
 
@@ -52,7 +56,8 @@ def balance_history(
     """
     recent = (*BALANCES, *DERIVED)
     lags = {0: (*recent, *EXTREME_DATES), 1: recent, 2: recent, 3: OLDER, 4: OLDER, 5: OLDER}
-    wide = attach_history(clean_balances(df), lags, snapshot, since=since, until=until)
+    cleaned = clean_balances(df)
+    wide = attach_history(cleaned, lags, snapshot, unique=unique, since=since, until=until)
     dates = {c: lag_name(c, 0) for c in EXTREME_DATES}
     return wide.selectExpr(
         *[c for c in wide.columns if c not in dates.values()],
@@ -61,13 +66,17 @@ def balance_history(
 
 
 def balance_window(
-    df: DataFrame, snapshot: str | None = None, since: str | None = None, until: str | None = None
+    df: DataFrame,
+    snapshot: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Balances of the anchor month, their 3- and 6-month range and mean, and momentum.
 
     ``snapshot=None`` gives every month at once, by one shuffle chain for the whole backfill.
     """
-    wide = balance_history(df, snapshot, since, until)
+    wide = balance_history(df, snapshot, since, until, unique)
     out = [named(c, c.removesuffix("_lag0")) for c in wide.columns if c.endswith("_lag0")]
     for span in SPANS:
         out += [

@@ -104,11 +104,15 @@ def bank_ph(
 
 
 def loan_diff(
-    df: DataFrame, snapshot: str | None = None, since: str | None = None, until: str | None = None
+    df: DataFrame,
+    snapshot: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Loan increases over four months and the monthly debit expected from the loan."""
     lags = {lag: ("loanall_s",) for lag in range(4)}
-    wide = attach_history(df, lags, snapshot, since=since, until=until)
+    wide = attach_history(df, lags, snapshot, unique=unique, since=since, until=until)
     loans = [lag_name("loanall_s", lag) for lag in range(4)]
     flags = {
         f"loan_inc_flag_{i}": f"int(coalesce({loans[i]} > {loans[i + 1]}, false))"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from monthgrain.months import MONTH, months_back
 from monthgrain.operators.cleaning import clean_bank_table, clean_call_table
 from monthgrain.operators.history import KEY
+from monthgrain.operators.merge import duplicated_keys
 from monthgrain.operators.snapshots import require_snapshot, stamp_snapshot
 from monthgrain.plans import balance, holdings, transactions
 from monthgrain.plans.labels import call_labels
@@ -119,6 +121,14 @@ def clean_source(warehouse: Warehouse, source: Source, snapshot: str) -> DataFra
     return clean_bank_table(raw, keep=source.keep, dates=source.dates)
 
 
+def _check_unique(df: DataFrame, source: Source) -> None:
+    """One row per customer, by a count over the id alone; features rely on it."""
+    key = KEY if KEY in df.columns else "cif"
+    broken = duplicated_keys(df, [key]).take(1)
+    if broken:
+        raise ValueError(f"{key} of {source.name} is null or repeated: {broken[0].asDict()}")
+
+
 def run_cleaning(
     warehouse: Warehouse,
     snapshot: str,
@@ -127,13 +137,16 @@ def run_cleaning(
 ) -> DataFrame:
     """Clean the month of every raw table found; returns the run report.
 
-    Raw tables that ``sources`` does not describe are cleaned by the default rules.
+    Where customers must have one row a month, repeated or missing ids fail the source. Raw
+    tables that ``sources`` does not describe are cleaned by the default rules.
     """
     described = {(s.group, s.name): s for s in sources}
 
     def job(source: Source) -> Callable[[], int]:
         def run() -> int:
             df = clean_source(warehouse, source, snapshot)
+            if source.unique:
+                _check_unique(df, source)
             return _replace_month(warehouse, CLEAN, source.clean_table, df, snapshot)
 
         return run
@@ -158,13 +171,18 @@ class FeatureSet:
     build: Callable[[DataFrame, str], DataFrame]
 
 
+def _checked(build: Callable[..., DataFrame]) -> Callable[[DataFrame, str], DataFrame]:
+    """A builder on a table whose customers are unique, which cleaning has checked."""
+    return partial(build, unique=True)
+
+
 FEATURE_SETS = (
-    FeatureSet("balance_window", "cifsumm", 6, balance.balance_window),
+    FeatureSet("balance_window", "cifsumm", 6, _checked(balance.balance_window)),
     FeatureSet("bank_ph", "phsumm", 1, holdings.bank_ph),
-    FeatureSet("loan_diff", "phsumm", 4, holdings.loan_diff),
+    FeatureSet("loan_diff", "phsumm", 4, _checked(holdings.loan_diff)),
     FeatureSet("saving_acct", "phsumm", 1, holdings.saving_acct),
     FeatureSet("axa_avr", "axa_avr", 1, holdings.axa_avr),
-    FeatureSet("trx_net", "axa_tran_net", 6, transactions.trx_net),
+    FeatureSet("trx_net", "axa_tran_net", 6, _checked(transactions.trx_net)),
     FeatureSet("trx_outflow", "trx_outflow", 6, transactions.trx_outflow),
     FeatureSet(
         "trx_outflow_purchase",
@@ -172,7 +190,7 @@ FEATURE_SETS = (
         6,
         transactions.trx_outflow_purchase,
     ),
-    FeatureSet("debit_edc", "debitcard_trx_edc_cif", 6, transactions.debit_edc),
+    FeatureSet("debit_edc", "debitcard_trx_edc_cif", 6, _checked(transactions.debit_edc)),
     FeatureSet("credit_type", "cc_type_cnt", 1, holdings.card_types),
     FeatureSet("debit_type", "dc_type_cnt", 1, holdings.card_types),
 )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from monthgrain.functions.rowwise import null_safe_sum, or_zero, share
 from monthgrain.functions.text import named, ref, text
-from monthgrain.months import MONTH
+from monthgrain.months import MONTH, months_back
 from monthgrain.operators.cleaning import fill_numbers, rename_if_absent
 from monthgrain.operators.history import KEY, Lags, attach_history, lag_name
 from monthgrain.operators.snapshots import scan_snapshot
@@ -50,8 +50,10 @@ EDC_GROUPS: dict[str, tuple[str, ...]] = {
     "offus": ("offus",),
 }
 
-# Purchase types found in the data are a column each, so there may not be many.
+# Purchase types found in the data are a column each, so there may not be many. Beyond the
+# smaller number, rows are added up by type before they are spread over the columns.
 MOST_PURCHASE_TYPES = 1000
+FEW_PURCHASE_TYPES = 32
 
 
 def _lags(anchor: Sequence[str], older: Sequence[str]) -> Lags:
@@ -84,13 +86,18 @@ def _zero_filled(names: Sequence[str]) -> dict[str, str]:
 
 
 def trx_net(
-    df: DataFrame, snapshot: str | None = None, since: str | None = None, until: str | None = None
+    df: DataFrame,
+    snapshot: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Credits and debits of the anchor month, their difference, and their trends."""
     rows = fill_numbers(rename_if_absent(df, "cif", KEY))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
     lags = _lags(names, ("sum_db", "sum_cd"))
-    wide = _anchor_named(attach_history(rows, lags, snapshot, since=since, until=until), names)
+    wide = attach_history(rows, lags, snapshot, unique=unique, since=since, until=until)
+    wide = _anchor_named(wide, names)
     return wide.selectExpr(
         *_without_lags(wide),
         "sum_cd - sum_db AS sum_cd_db_diff",
@@ -168,6 +175,18 @@ def purchase_types(df: DataFrame, snapshot: str) -> list[str]:
     return sorted(r[0] for r in found)
 
 
+def _by_type(rows: DataFrame, types: Sequence[str]) -> DataFrame:
+    """With many types, one row per customer, month and type; else the rows as they are.
+
+    A row then need not be held against every type.
+    """
+    if len(types) <= FEW_PURCHASE_TYPES:
+        return rows
+    return rows.groupBy(KEY, MONTH, "transaction_type").agg(
+        F.sum("frek").alias("frek"), F.sum("nominal").alias("nominal")
+    )
+
+
 def _purchase_measures(types: Sequence[str]) -> dict[str, str]:
     """Row expressions to add up: one pair per type, and totals over all types.
 
@@ -198,7 +217,8 @@ def purchase_pivot(df: DataFrame, types: Sequence[str], snapshot: str | None = N
     if snapshot is not None:
         rows = scan_snapshot(rows, snapshot)
     sums = [F.expr(named(f"sum({v})", n)) for n, v in _purchase_measures(types).items()]
-    return rows.groupBy(KEY, MONTH).agg(*sums).selectExpr("*", *_purchase_shares(types))
+    pivoted = _by_type(rows, types).groupBy(KEY, MONTH).agg(*sums)
+    return pivoted.selectExpr("*", *_purchase_shares(types))
 
 
 def trx_outflow_purchase(
@@ -219,7 +239,11 @@ def trx_outflow_purchase(
         types = purchase_types(rows, snapshot)
     sums = _purchase_measures(types)
     lags = _lags(list(sums), ("sum_purchase_freq", "sum_purchase_amt"))
-    wide = attach_history(rows, lags, snapshot, sums=sums, since=since, until=until)
+    if snapshot is not None:
+        rows = scan_snapshot(rows, *months_back(snapshot, len(lags)))
+    wide = attach_history(
+        _by_type(rows, types), lags, snapshot, sums=sums, since=since, until=until
+    )
     wide = _anchor_named(wide, list(sums))
     return wide.selectExpr(
         *_without_lags(wide),
@@ -282,6 +306,7 @@ def debit_edc(
     groups: Mapping[str, Sequence[str]] = EDC_GROUPS,
     since: str | None = None,
     until: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Card payment groups of the anchor month and the trends of their totals.
 
@@ -291,7 +316,8 @@ def debit_edc(
     filled = fill_numbers(df)
     rows = filled.selectExpr("*", *_edc_totals(filled.columns, groups))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
-    wide = attach_history(rows, _lags(names, _EDC_TOTALS), snapshot, since=since, until=until)
+    lags = _lags(names, _EDC_TOTALS)
+    wide = attach_history(rows, lags, snapshot, unique=unique, since=since, until=until)
     wide = _rolled_up(_anchor_named(wide, names), groups)
     return wide.selectExpr(
         *_without_lags(wide), *_trends({"sum_sv": "sv", "sum_freq": "freq"})

@@ -13,6 +13,7 @@ class Source:
     """One monthly file.
 
     ``keep`` names columns that stay text when cleaned, ``dates`` those read as dates.
+    ``unique`` says that a customer has one row a month, which cleaning checks.
     """
 
     name: str
@@ -21,6 +22,7 @@ class Source:
     sep: str = "|"
     keep: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
+    unique: bool = False
 
     def file_name(self, snapshot: str) -> str:
         """``<stem>_<yyyyMM>``, with ``.csv`` for comma-separated files and ``.txt`` else."""
@@ -57,16 +59,16 @@ SOURCES = (
     Source("axa_cust_demo", keep=_ACCOUNT_IDS),
     Source("axa_tran_allper_cd", keep=_ACCOUNT_IDS),
     Source("axa_tran_allper_db", keep=_ACCOUNT_IDS),
-    Source("axa_tran_net", keep=("cif", *_ACCOUNT_IDS)),
+    Source("axa_tran_net", keep=("cif", *_ACCOUNT_IDS), unique=True),
     Source("cc_type_cnt", keep=_ACCOUNT_IDS),
     Source("cif_acct_mapping", keep=_ACCOUNT_IDS),
-    Source("cifsumm", keep=_ACCOUNT_IDS, dates=("mxdt", "mndt")),
+    Source("cifsumm", keep=_ACCOUNT_IDS, dates=("mxdt", "mndt"), unique=True),
     Source("cust_zipcode_mapping", keep=_ACCOUNT_IDS),
     Source("dc_type_cnt", keep=_ACCOUNT_IDS),
-    Source("debitcard_trx_edc_cif", keep=_ACCOUNT_IDS),
+    Source("debitcard_trx_edc_cif", keep=_ACCOUNT_IDS, unique=True),
     Source("master_filter", keep=_ACCOUNT_IDS),
     Source("master_filter_consent", keep=_ACCOUNT_IDS),
-    Source("phsumm", keep=_ACCOUNT_IDS, dates=OPEN_DATES),
+    Source("phsumm", keep=_ACCOUNT_IDS, dates=OPEN_DATES, unique=True),
     Source("qris_trx_edc_cif", keep=_ACCOUNT_IDS),
     Source("trx_outflow", keep=("cifno_pengirim", "rekening_pengirim", *_ACCOUNT_IDS)),
     Source(

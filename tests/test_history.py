@@ -36,14 +36,14 @@ def by_hand(data, anchor):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_both_forms_and_brute_force_agree(spark, seed):
+@pytest.mark.parametrize("seed, unique", [(1, False), (2, True)])
+def test_both_forms_and_brute_force_agree(spark, seed, unique):
     data = sparse(seed)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    everywhere = attach_history(df, LAGS).cache()
+    everywhere = attach_history(df, LAGS, unique=unique).cache()
     assert everywhere.count() == len(data)
     for anchor in months_back("200203", 16):
-        one = attach_history(df, LAGS, anchor)
+        one = attach_history(df, LAGS, anchor, unique=unique)
         assert one.columns == ["cifno", "snapshot_date", *NAMES]
         expected = sorted(by_hand(data, anchor), key=str)
         assert rows(one) == expected
@@ -77,6 +77,7 @@ def test_sums_over_a_hot_customer(spark):
         assert wide.where("snapshot_date = '200106'").agg(F.sum("n_lag0")).first()[0] == 75_000
 
 
+@pytest.mark.parametrize("unique", [False, True])
 @pytest.mark.parametrize("snapshot", ["200106", None])
 @pytest.mark.parametrize(
     "data, message",
@@ -86,10 +87,17 @@ def test_sums_over_a_hot_customer(spark):
         ([(None, "200106", 1.0, 1.0)], "cifno is null"),
     ],
 )
-def test_broken_keys_stop_the_run(spark, snapshot, data, message):
+def test_broken_keys_stop_the_run(spark, snapshot, unique, data, message):
     df = spark.createDataFrame(data, SCHEMA)
     with pytest.raises(PySparkException, match=message):
-        attach_history(df, LAGS, snapshot).collect()
+        attach_history(df, LAGS, snapshot, unique=unique).collect()
+
+
+def test_sums_are_not_unique(spark):
+    with pytest.raises(ValueError):
+        attach_history(
+            spark.createDataFrame([], SCHEMA), {0: ("a",)}, "200106", sums={"a": "a"}, unique=True
+        )
 
 
 def test_nobody_at_the_anchor(spark):
@@ -135,3 +143,12 @@ def test_plan_of_all_anchors(stored):
     assert "Join" not in plan and "SortAggregate" not in plan
     assert plan.count("Exchange") == 2
     assert plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize("snapshot", ["200203", None])
+def test_plan_for_unique_rows_has_one_shuffle_of_plain_rows(stored, snapshot):
+    plan = plan_of(attach_history(stored, LAGS, snapshot, unique=True))
+    assert plan.count("Exchange") == 1
+    assert "Join" not in plan and "SortAggregate" not in plan
+    below = plan[plan.index("Exchange"):]
+    assert "Aggregate" not in below and "Window" not in below

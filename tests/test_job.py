@@ -119,13 +119,15 @@ def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     (folder / "cifsumm_202401.txt").write_text("Open Date|open_date\na|b\n")
     (folder / "phsumm_202401.txt").write_text("cifno|t1\n1|2\n")
     (folder / "master_filter_202401.txt").write_text("cifno|x\n")
+    (folder / "axa_tran_net_202401.txt").write_text("cif|sum_cd\n1|2\n1|3\n")
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
-    names = ("cifsumm", "phsumm", "master_filter")
+    names = ("cifsumm", "phsumm", "master_filter", "axa_tran_net")
     sources = [s for s in SOURCES if s.name in names]
     ingested = job.run_ingest(warehouse, str(tmp_path / "landing"), "202401", sources)
     assert statuses(ingested, "ingest") == {
         "cifsumm": ("ok", 1),
         "phsumm": ("ok", 1),
+        "axa_tran_net": ("ok", 2),
         "master_filter": ("empty", 0),
     }
     cleaned = job.run_cleaning(warehouse, "202401")
@@ -133,6 +135,8 @@ def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     assert found["cifsumm"] == ("failed", None) and found["phsumm"] == ("ok", 1)
     errors = {r.source: r.error for r in cleaned.collect()}
     assert "share a name" in errors["cifsumm"]
+    assert "cif of axa_tran_net is null or repeated" in errors["axa_tran_net"]
+    assert not warehouse.exists(CLEAN, "bank_axa_tran_net")
 
 
 def test_tables_the_manifest_does_not_know(spark, tmp_path):

@@ -89,6 +89,24 @@ def test_purchase_types_with_odd_names(spark):
     assert rows(out, "O'Neil's - 5%_amt", "O'Neil's - 5%_amt_per") == [(2.0, 1.0)]
 
 
+def test_many_types_are_folded_first(spark, monkeypatch):
+    pick = random.Random(6)
+    months = ("200106", "200104", "200101", "199912")
+    data = [
+        (f"{pick.randint(0, 9)}", pick.choice(months), pick.choice(["X", "Y", None, "Z"]), 1.0, n)
+        for n in [None, 1.0, 2.0, 0.5] * 40
+    ]
+    df = spark.createDataFrame(data, BUY)
+    for snapshot in ("200106", None):
+        plain = rows(trx.trx_outflow_purchase(df, snapshot, ["X", "Y"]))
+        with monkeypatch.context() as m:
+            m.setattr(trx, "FEW_PURCHASE_TYPES", 1)
+            assert rows(trx.trx_outflow_purchase(df, snapshot, ["X", "Y"])) == plain
+    pivoted = rows(trx.purchase_pivot(df, ["X", "Y"]))
+    monkeypatch.setattr(trx, "FEW_PURCHASE_TYPES", 1)
+    assert rows(trx.purchase_pivot(df, ["X", "Y"])) == pivoted
+
+
 def test_too_many_types(spark, monkeypatch):
     monkeypatch.setattr(trx, "MOST_PURCHASE_TYPES", 1)
     data = [("a", "200106", t, 1.0, 1.0) for t in "XY"]
