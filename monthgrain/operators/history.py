@@ -5,9 +5,10 @@
 no row in that month). Lags are always counted on the calendar, never by row position, since
 months may be missing.
 
-* One anchor month: a conditional aggregation. The months wanted are read once, with the
-  month filter on the partition column, partly aggregated before the only shuffle, and
-  customers without a row in the anchor month are left out.
+* One anchor month: a conditional aggregation. Each month wanted is read once, with the month
+  filter on the partition column and no more columns than that month is asked for; months
+  asked for the same columns share a scan. Rows are partly aggregated before the only
+  shuffle, and customers without a row in the anchor month are left out.
 * Every month as an anchor (``snapshot=None``): rows are first folded to one per customer
   and month, so that a window over one customer is never larger than the number of months,
   and range frames over the month number then pick the lags.
@@ -29,6 +30,7 @@ makes it sort.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,11 +108,18 @@ def _one_anchor(
     snapshot: str,
 ) -> DataFrame:
     months = months_back(snapshot, max(lags) + 1)
-    rows = df.where(F.col(MONTH).isin([months[i] for i in lags])).selectExpr(
-        ref(key),
-        named(f"{month_number(snapshot)} - {month_index(MONTH)}", _LAG),
-        *[named(value, n) for n, value in _values(lags, sums).items()],
-    )
+    values = _values(lags, sums)
+    number = named(f"{month_number(snapshot)} - {month_index(MONTH)}", _LAG)
+    asked: dict[frozenset[str], list[str]] = {}
+    for lag, listed in lags.items():
+        asked.setdefault(frozenset(listed), []).append(months[lag])
+    scans = [
+        df.where(F.col(MONTH).isin(wanted)).selectExpr(
+            ref(key), number, *[named(v, n) for n, v in values.items() if n in listed]
+        )
+        for listed, wanted in asked.items()
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     if unique:
         rows = rows.repartition(F.col(ref(key)))
     pick = "max" if sums is None else "sum"

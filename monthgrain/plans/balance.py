@@ -11,7 +11,7 @@ from monthgrain.functions.rowwise import ratio_or_null, row_max, row_mean, row_m
 from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
 from monthgrain.operators.cleaning import as_dates, fill_numbers
-from monthgrain.operators.history import KEY, attach_history, lag_name
+from monthgrain.operators.history import KEY, Lags, attach_history, lag_name
 from monthgrain.operators.snapshots import scan_snapshot
 from monthgrain.operators.stats import SPANS, lag_refs
 
@@ -19,6 +19,7 @@ from monthgrain.operators.stats import SPANS, lag_refs
 BALANCES = ("avg", "sdev", "med", "mx", "mn", "qt1", "qt3", "d20", "eom", "nod")
 DERIVED = ("delta_days", "mxdt_range", "mndt_range", "delta_max_min_bal")
 OLDER = ("avg", "mx", "mn", "eom")
+WINDOWED = ("avg", "mx", "mn")
 EXTREME_DATES = ("mxdt", "mndt")
 
 # Parts of column names that do, and do not, take a loan deduction.
@@ -42,6 +43,21 @@ def clean_balances(df: DataFrame) -> DataFrame:
     )
 
 
+def _history(df: DataFrame, lags: Lags, snapshot: str | None, **options) -> DataFrame:
+    """Attach history and name the weekdays of the anchor month's dates.
+
+    Weekday names are made after the months are put together: fixed-width columns keep the
+    aggregation a hash aggregation.
+    """
+    lags = {**lags, 0: (*lags[0], *EXTREME_DATES)}
+    wide = attach_history(clean_balances(df), lags, snapshot, **options)
+    dates = {c: lag_name(c, 0) for c in EXTREME_DATES}
+    return wide.selectExpr(
+        *[c for c in wide.columns if c not in dates.values()],
+        *[named(weekday_name(d), lag_name(f"weekday_{c}", 0)) for c, d in dates.items()],
+    )
+
+
 def balance_history(
     df: DataFrame,
     snapshot: str | None = None,
@@ -49,20 +65,10 @@ def balance_history(
     until: str | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """Six months of balances side by side, with weekdays for the anchor month only.
-
-    The anchor's weekday names are made from its dates after the months are put together:
-    fixed-width columns keep the aggregation a hash aggregation.
-    """
+    """Six months of balances side by side, with weekdays for the anchor month only."""
     recent = (*BALANCES, *DERIVED)
-    lags = {0: (*recent, *EXTREME_DATES), 1: recent, 2: recent, 3: OLDER, 4: OLDER, 5: OLDER}
-    cleaned = clean_balances(df)
-    wide = attach_history(cleaned, lags, snapshot, unique=unique, since=since, until=until)
-    dates = {c: lag_name(c, 0) for c in EXTREME_DATES}
-    return wide.selectExpr(
-        *[c for c in wide.columns if c not in dates.values()],
-        *[named(weekday_name(d), lag_name(f"weekday_{c}", 0)) for c, d in dates.items()],
-    )
+    lags = {0: recent, 1: recent, 2: recent, 3: OLDER, 4: OLDER, 5: OLDER}
+    return _history(df, lags, snapshot, since=since, until=until, unique=unique)
 
 
 def balance_window(
@@ -76,7 +82,8 @@ def balance_window(
 
     ``snapshot=None`` gives every month at once, by one shuffle chain for the whole backfill.
     """
-    wide = balance_history(df, snapshot, since, until, unique)
+    lags = {0: (*BALANCES, *DERIVED)} | {lag: WINDOWED for lag in range(1, 6)}
+    wide = _history(df, lags, snapshot, since=since, until=until, unique=unique)
     out = [named(c, c.removesuffix("_lag0")) for c in wide.columns if c.endswith("_lag0")]
     for span in SPANS:
         out += [

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -129,13 +130,30 @@ def test_plan_of_one_anchor(stored):
     assert plan.count("Exchange") == 1
     assert "Join" not in plan and "SortAggregate" not in plan
     assert plan.count("HashAggregate") == 2
-    assert plan.count("FileScan") == 1
-    assert "PartitionFilters: [cast(snapshot_date" in plan and "IN (" in plan
+
+
+def test_each_month_is_scanned_once_for_what_it_is_asked_for(stored):
+    plan = plan_of(attach_history(stored, LAGS, "200203"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    found = {
+        re.search(r"cast\(snapshot_date#\d+ as string\) (.*?)\]", s)[1]: re.search(
+            r"ReadSchema: struct<(.*)>", s
+        )[1]
+        for s in scans
+    }
+    assert found == {
+        "= 200203)": "cifno:string,a:double,b:double",
+        "IN (200202,200201)": "cifno:string,a:double",
+        "= 200110)": "cifno:string,b:double",
+    }
 
 
 def test_plan_reads_only_what_is_used(stored):
     plan = plan_of(attach_history(stored, LAGS, "200203").select("cifno", "b_lag5"))
-    assert "ReadSchema: struct<cifno:string,b:double>" in plan
+    assert set(re.findall(r"ReadSchema: struct<(.*)>", plan)) == {
+        "cifno:string",
+        "cifno:string,b:double",
+    }
 
 
 def test_plan_of_all_anchors(stored):
