@@ -276,7 +276,7 @@ def _edc_totals(columns: Sequence[str], groups: Mapping[str, Sequence[str]]) ->
 
 
 def _rolled_up(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Add group sums and their shares of the total ``sum_sv``.
+    """Add group sums, the grand totals where they are not there yet, and group shares.
 
     Some groups are named like one of their categories; the group sum takes that column's
     place. Sums are always made from the categories themselves.
@@ -285,7 +285,12 @@ def _rolled_up(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
     rolled = df.selectExpr(
         *[ref(c) for c in df.columns if c not in sums], *[named(v, n) for n, v in sums.items()]
     )
-    return rolled.selectExpr(
+    totals = [
+        named(null_safe_sum([f"{g}_{m}" for g in groups]), f"sum_{m}")
+        for m in _EDC_MEASURES
+        if f"sum_{m}" not in df.columns
+    ]
+    return rolled.selectExpr("*", *totals).selectExpr(
         "*", *[named(share(f"{g}_sv", "sum_sv"), f"{g}_sv_per") for g in groups]
     )
 
@@ -297,7 +302,7 @@ def edc_groups(
 ) -> DataFrame:
     """Card payments of a month rolled up from categories to groups."""
     rows = fill_numbers(df if snapshot is None else scan_snapshot(df, snapshot))
-    return _rolled_up(rows.selectExpr("*", *_edc_totals(rows.columns, groups)), groups)
+    return _rolled_up(rows, groups)
 
 
 def debit_edc(
@@ -311,8 +316,11 @@ def debit_edc(
     """Card payment groups of the anchor month and the trends of their totals.
 
     Older months carry only their two totals through the shuffle; groups and shares of the
-    anchor month are made from its categories afterwards.
+    anchor month are made from its categories afterwards. Backfills fold their rows in any
+    case: renaming the categories right above a sum of all of them would make the optimizer
+    keep one constraint for every mix of old and new names.
     """
+    unique = unique and snapshot is not None
     filled = fill_numbers(df)
     rows = filled.selectExpr("*", *_edc_totals(filled.columns, groups))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]

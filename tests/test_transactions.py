@@ -149,3 +149,14 @@ def test_both_ways_to_group_sums_agree(spark):
     shares = [c for c in rolled.columns if c.endswith("_sv_per")]
     for row in rolled.collect():
         assert sum(row[c] for c in shares) == pytest.approx(1.0 if row.sum_sv > 0 else 0.0)
+
+
+@pytest.mark.parametrize("snapshot", ["200106", None])
+@pytest.mark.parametrize("unique", [False, True])
+def test_all_categories_plan_quickly_and_alike(spark, snapshot, unique):
+    """33 categories under one sum, filtered: must not set the optimizer multiplying."""
+    names = [f"{c}_{m}" for g in trx.EDC_GROUPS.values() for c in g for m in ("freq", "sv")]
+    row = ", ".join(f"double({i}) AS {n}" for i, n in enumerate(names))
+    df = spark.sql(f"SELECT 'a' AS cifno, '200106' AS snapshot_date, {row}")
+    out = trx.debit_edc(df, snapshot, unique=unique).where("snapshot_date = '200106'")
+    assert rows(out, "sum_sv", "max_sv_lm6") == [(1089.0, 1089.0)]
