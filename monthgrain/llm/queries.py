@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthgrain.llm import bpe, chat, exact, fingerprint
+from monthgrain.llm import bpe, chat, exact, fingerprint, jaccard
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Where the public vocabularies are.
@@ -24,6 +24,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), jaccard.Join(3, 90, 100))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_fingerprints, op8_exact_dedup, op9_chat_windows, op10_bpe)
+    f.__name__: f
+    for f in (op2_fingerprints, op6_ngram_jaccard, op8_exact_dedup, op9_chat_windows, op10_bpe)
 }
 
 #: The same rows in DuckDB's SQL, where SQL can tell them.
