@@ -5,11 +5,14 @@
    its counts give the global order, rare cells first.
 2. Two sets that reach the similarity share one of the first shingles of either in that order.
    Classes that share such a shingle, and are near in size, meet in the block of the least of
-   them; each class is sent once to each of its blocks.
-3. The global order is cut into fragments of about equal weight. Each fragment of a block
+   them.
+3. Blocks are screened by histograms of the sets: the sums of the smaller counts bound a
+   pair's overlap from above. Classes without a partner within the bound go, and the others
+   are regrouped by who is left.
+4. The global order is cut into fragments of about equal weight. Each fragment of a block
    counts the partial overlaps of its pairs by itself; the counts are then summed per pair and
    compared with the sizes. What leaves a block is one row for each class, never its pairs.
-4. Blocks give links to the least class they reach; these become components.
+5. Blocks give links to the least class they reach; these become components.
 
 Texts move once, and only those of one document for each class that has a possible partner.
 """
@@ -34,6 +37,8 @@ CELL_BITS = 20
 SLICES = 64
 #: Bits of a shingle that candidates are found by; overlaps use all 64.
 KEY_BITS = 40
+#: Counts in the histogram of a set.
+BINS = 256
 #: Fragments of the global order.
 FRAGMENTS = 4
 #: Most classes of a block that are compared with each other in one task.
@@ -88,38 +93,46 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _histogram(shingles: np.ndarray) -> bytes:
+    bins = ((shingles >> np.uint64(32)) % np.uint64(BINS)).astype(np.int64)
+    return np.bincount(bins, minlength=BINS).astype("<u4").tobytes()
+
+
 def _short(digest: bytes) -> int:
     """A number for a class; classes that share one only meet in more blocks."""
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """id, n, digest, class of every row, and below them the counts of all shingles by cell."""
+    """id, n, digest, class, histogram of every row, and below them the counts of all shingles by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            n, digests = [], []
+            n, digests, bins = [], [], []
             for shingles in shingle_sets(_texts(batch.column(1)), size):
                 n.append(len(shingles))
                 digests.append(_digest(shingles))
+                bins.append(_histogram(shingles))
                 np.add.at(counts, _cell(shingles), 1)
             shorts = [_short(d) for d in digests]
             none = pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary())
-            yield _record([batch.column(0), n, digests, shorts, *none])
+            yield _record([batch.column(0), n, digests, shorts, bins, *none])
         parts = [p.astype("<i8").tobytes() for p in np.split(counts, SLICES)]
-        empty = pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.binary())
-        yield _record([empty[0], empty[0], empty[1], empty[0], range(SLICES), parts])
+        empty = [pa.nulls(SLICES, k) for k in kinds[:5]]
+        yield _record([*empty, range(SLICES), parts])
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["id", "n", "digest", "class", "slice", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    kinds += [pa.int64(), pa.binary()]
+    names = ["id", "n", "digest", "class", "bins", "slice", "counts"]
 
     def _record(columns: list) -> pa.RecordBatch:
         arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     return rows.mapInArrow(
-        run, "id long, n long, digest binary, class long, slice long, counts binary"
+        run,
+        "id long, n long, digest binary, class long, bins binary, slice long, counts binary",
     )
 
 
@@ -135,7 +148,7 @@ def _order(counts: DataFrame, hot: int) -> Order:
         columns = [pa.array(sums, pa.int64()), pa.array([v.tobytes() for v in sums.values()])]
         yield pa.RecordBatch.from_arrays([columns[0], columns[1].cast(pa.binary())], names=names)
 
-    found = counts.repartition(SLICES, "slice").mapInArrow(run, "slice long, counts binary")
+    found = counts.repartition("slice").mapInArrow(run, "slice long, counts binary")
     total = np.zeros((SLICES, (1 << CELL_BITS) // SLICES), np.int64)
     for k, raw in found.collect():
         total[k] += np.frombuffer(raw, "<i8")
@@ -206,17 +219,106 @@ def _meetings(prefixes: DataFrame, join: Join) -> DataFrame:
     return light.unionByName(heavy).distinct()
 
 
-def _blocks(meetings: DataFrame, tile: int) -> DataFrame:
-    """(class, blocks): the blocks of each class, with the number of chunks of each block."""
+def _screened(meetings: DataFrame, classes: DataFrame, join: Join, tile: int) -> DataFrame:
+    """(digest, blocks): the blocks of each class in which a partner is within the bound.
+
+    Blocks of more than ``tile`` classes are compared chunk by chunk and keep their name; the
+    others are cut into parts that hang together, each named by its members, so that parts met
+    by several shingles become one.
+    """
+    parts = int(meetings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = stored(
-        meetings.groupBy("block").agg(F.expr(f"cast(ceil(count(*) / {tile}) AS int) AS chunks")),
+        meetings.groupBy("block").agg(F.expr(f"ceil(count(*) / {tile})").alias("chunks")),
         "blocks",
     )
-    return (
+    dealt = (
         meetings.join(sizes, "block")
-        .groupBy("class")
-        .agg(F.sort_array(F.collect_set(F.struct("block", "chunks"))).alias("blocks"))
+        .join(classes.select("class", "digest", "n", "bins"), "class")
+        .selectExpr("block", "chunks", f"{_CHUNK} AS chunk", "digest", "n", "bins")
+        .selectExpr("*", "explode(sequence(0L, chunks - 1)) AS other")
+        .selectExpr(
+            "block",
+            "least(chunk, other) * chunks + greatest(chunk, other) AS tile",
+            "chunks",
+            "if(chunk = other, -1L, chunk) AS chunk",
+            "digest",
+            "n",
+            "bins",
+        )
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, 2):
+            rows = list({r[4]: r for r in group}.values())
+            if len(rows) < 2:
+                continue
+            allowed = _near(np.array([r[5] for r in rows]), np.array([r[3] for r in rows]), join)
+            i, j = _bounded(rows, allowed, join)
+            if not len(i):
+                continue
+            some = np.unique(np.concatenate([i, j]))
+            chunks = group[0][2]
+            name = np.full(len(rows), group[0][0], np.int64)
+            if chunks == 1:
+                root = _roots(len(rows), i, j)
+                for r in np.unique(root[some]):
+                    inside = np.flatnonzero(root == r)
+                    members = b"".join(sorted(rows[k][4] for k in inside))
+                    name[inside] = _short(hashlib.blake2b(members, digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([rows[k][4] for k in some], pa.binary()),
+                    pa.array(name[some]),
+                    pa.array(np.full(len(some), chunks), pa.int64()),
+                ],
+                names=["digest", "block", "chunks"],
+            )
+
+    kept = (
+        dealt.repartition(parts, "block", "tile")
+        .sortWithinPartitions("block", "tile", "digest")
+        .mapInArrow(run, "digest binary, block long, chunks long")
     )
+    return kept.groupBy("digest").agg(F.collect_set(F.struct("block", "chunks")).alias("blocks"))
+
+
+#: Which chunk of its block a class is in.
+_CHUNK = "pmod(cast(conv(hex(substring(digest, 9, 4)), 16, 10) AS long), chunks)"
+
+
+def _near(n: np.ndarray, chunk: np.ndarray, join: Join) -> np.ndarray:
+    """Pairs of rows that this tile compares and whose sizes allow a link."""
+    allowed = np.triu(np.ones((len(n), len(n)), bool), 1)
+    allowed &= np.minimum.outer(n, n) * join.den >= np.maximum.outer(n, n) * join.num
+    if chunk[0] >= 0:
+        allowed &= chunk[:, None] != chunk[None, :]
+    return allowed
+
+
+def _bounded(rows: list[tuple], allowed: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """The allowed pairs whose histograms leave room for a link."""
+    bins = np.stack([np.frombuffer(r[6], "<u4") for r in rows]).astype(np.int64)
+    n = bins.sum(1)
+    i, j = np.nonzero(allowed)
+    keep = np.zeros(len(i), bool)
+    for at in range(0, len(i), 8192):
+        a, b = i[at : at + 8192], j[at : at + 8192]
+        most = np.minimum(bins[a], bins[b]).sum(1)
+        keep[at : at + 8192] = most * join.den >= join.num * (n[a] + n[b] - most)
+    return i[keep], j[keep]
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least member that each of ``n`` members reaches by the pairs."""
+    root = np.arange(n)
+    while True:
+        new = root.copy()
+        least = np.minimum(root[i], root[j])
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        if np.array_equal(new, root):
+            return root
+        root = new
 
 
 _SEGMENTS = pa.schema(
@@ -253,7 +355,7 @@ def _segments(wanted: DataFrame, join: Join, order) -> DataFrame:
             names = [b["block"] for b in blocks]
             for block in blocks:
                 chunks = block["chunks"]
-                own_chunk = int.from_bytes(digest[8:12], "little") % chunks
+                own_chunk = int.from_bytes(digest[8:12], "big") % chunks
                 for other in range(chunks):
                     low, high = min(own_chunk, other), max(own_chunk, other)
                     for k, part in enumerate(parts):
@@ -345,12 +447,7 @@ def _partial(join: Join) -> Callable:
             if len(rows) < 2:
                 continue
             n = np.array([r[5] for r in rows])
-            chunk = np.array([r[7] for r in rows])
-            allowed = np.triu(np.ones((len(rows), len(rows)), bool), 1)
-            small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-            allowed &= small * join.den >= large * join.num
-            if chunk[0] >= 0:
-                allowed &= chunk[:, None] != chunk[None, :]
+            allowed = _near(n, np.array([r[7] for r in rows]), join)
             codes, counts = overlaps([np.frombuffer(r[9], "<u8") for r in rows], allowed)
             first = group[0][2] == 0
             yield pa.RecordBatch.from_arrays(
@@ -398,15 +495,7 @@ def _linked(join: Join) -> Callable:
             i, j = i[links], j[links]
             if not len(i):
                 continue
-            root = np.arange(size)
-            while True:
-                least = np.minimum(root[i], root[j])
-                new = root.copy()
-                np.minimum.at(new, i, least)
-                np.minimum.at(new, j, least)
-                if np.array_equal(new, root):
-                    break
-                root = new
+            root = _roots(size, i, j)
             counted = ~_elsewhere(group[0][0], blocks, size)[i, j]
             weight = np.array(copies, np.float64)
             number = np.bincount(i[counted], weight[j[counted]], size)
@@ -467,20 +556,25 @@ def jaccard_groups(
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
     sets = stored(_sets(rows, join.size), "sets")
-    order = spark.sparkContext.broadcast(_order(sets.where("slice IS NOT NULL").select("slice", "counts"), hot))
-    sets = sets.where("slice IS NULL").select("id", "n", "digest", "class")
+    counted = sets.where("slice IS NOT NULL").select("slice", "counts")
+    order = spark.sparkContext.broadcast(_order(counted, hot))
+    sets = sets.where("slice IS NULL").select("id", "n", "digest", "class", "bins")
     named = sets.where("id IS NOT NULL")
     classes = stored(
         named.where("n > 0")
         .groupBy("digest", "n", "class")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
+        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("bins").alias("bins")),
         "classes",
     )
 
     known = rows.where("id IS NOT NULL")
     meetings = stored(_meetings(_prefixes(known, join, order), join), "meetings")
-    wanted = stored(_blocks(meetings, tile).join(classes, "class"), "wanted").select(
-        F.col("rep").alias("id"), "rep", "digest", "n", "copies", "blocks"
+    screened = stored(_screened(meetings, classes, join, tile), "screened")
+    wanted = stored(
+        screened.join(classes, "digest").select(
+            F.col("rep").alias("id"), "rep", "digest", "n", "copies", "blocks"
+        ),
+        "wanted",
     )
     segments = _segments(known.join(wanted, "id"), join, order)
     partial = (
@@ -494,7 +588,8 @@ def jaccard_groups(
         .mapInArrow(_linked(join), "digest binary, rep long, root long, links long"),
         "links",
     )
-    component = connected_components(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    links = linked.select(F.col("rep").alias("u"), F.col("root").alias("v"))
+    component = connected_components(links)
     counts = linked.groupBy("digest").agg(F.sum("links").alias("links"))
     found = stored(
         classes.join(counts, "digest", "left")
@@ -507,7 +602,10 @@ def jaccard_groups(
         "found",
     )
     out = named.join(found, "digest", "left").select(
-        "id", "n", F.coalesce("component", "id").alias("component"), F.coalesce("links", F.lit(0)).alias("links")
+        "id",
+        "n",
+        F.coalesce("component", "id").alias("component"),
+        F.coalesce("links", F.lit(0)).alias("links"),
     )
     lost = sets.where("id IS NULL").select(
         "id", "n", F.lit(None).cast("long").alias("component"), F.lit(0).cast("long").alias("links")

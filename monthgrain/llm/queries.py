@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthgrain.llm import bpe, chat, exact, fingerprint, jaccard
+from monthgrain.llm import (
+    bpe,
+    chat,
+    exact,
+    fingerprint,
+    jaccard,
+    licenses,
+    lines,
+    mixing,
+    quality,
+    toxicity,
+)
+from monthgrain.llm.labelled import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Where the public vocabularies are.
@@ -20,14 +32,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, trees).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+#: The tree of sources: bulk and two smaller domains, English first, all sources alike.
+DOMAIN = (
+    "CASE WHEN source = 'src0' THEN 'bulk' "
+    "WHEN try_cast(regexp_extract(source, '([0-9]+)', 1) AS int) % 2 = 1 THEN 'odd' ELSE 'even' END"
+)
+WEIGHTS = {
+    "domain": "CASE domain WHEN 'bulk' THEN 2 WHEN 'odd' THEN 5 ELSE 3 END",
+    "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 3 ELSE 2 END",
+    "source": "CASE WHEN source LIKE '%1' THEN 2 ELSE 1 END",
+}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, DOMAIN, WEIGHTS).select(
+        "doc_id", "domain", "lang", "source", "n_tokens", "copies"
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), jaccard.Join(3, 90, 100))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,11 +124,116 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_fingerprints, op6_ngram_jaccard, op8_exact_dedup, op9_chat_windows, op10_bpe)
+    for f in (
+        op1_quality,
+        op2_fingerprints,
+        op3_mixing,
+        op4_toxicity,
+        op5_licenses,
+        op6_ngram_jaccard,
+        op7_line_dedup,
+        op8_exact_dedup,
+        op9_chat_windows,
+        op10_bpe,
+    )
 }
 
+_MIX_LEVEL = """
+    {name}_n AS (
+        SELECT {own}, 2 * sum(tokens) AS room, CAST({weight} AS BIGINT) AS weight, {total} AS total
+        FROM leaves {join} GROUP BY ALL),
+    {name}_o AS (
+        SELECT *, coalesce(sum(room) OVER (PARTITION BY {parent} ORDER BY room / weight, {name}
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+               sum(weight) OVER (PARTITION BY {parent} ORDER BY room / weight, {name}
+                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+        FROM {name}_n WHERE weight > 0),
+    {name}_f AS (SELECT *, room * rest <= (total - below) * weight AS is_full FROM {name}_o),
+    {name}_s AS (
+        SELECT {own}, CAST(if(is_full, room, (total - sum(if(is_full, room, 0)) OVER same) * weight
+               // greatest(sum(if(is_full, 0, weight)) OVER same, 1)) AS BIGINT) AS share_{name}
+        FROM {name}_f WINDOW same AS (PARTITION BY {parent})),
+"""
+
+
+def _mix_sql() -> str:
+    domain = DOMAIN.replace("try_cast", "TRY_CAST")
+    levels = [
+        _MIX_LEVEL.format(
+            name="domain",
+            own="domain",
+            weight=WEIGHTS["domain"],
+            parent="0",
+            join="",
+            total="(SELECT sum(tokens) * 3 // 5 FROM leaves)",
+        ),
+        _MIX_LEVEL.format(
+            name="lang",
+            own="domain, lang",
+            weight=WEIGHTS["lang"],
+            parent="domain",
+            join="JOIN domain_s USING (domain)",
+            total="share_domain",
+        ),
+        _MIX_LEVEL.format(
+            name="source",
+            own="domain, lang, source",
+            weight=WEIGHTS["source"],
+            parent="domain, lang",
+            join="JOIN lang_s USING (domain, lang)",
+            total="share_lang",
+        ),
+    ]
+    return f"""
+    WITH docs AS (
+        SELECT doc_id, lang, source, coalesce({domain}, '') AS domain,
+               CAST(coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')), 0) AS BIGINT)
+                   AS tokens
+        FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(tokens) AS tokens FROM docs GROUP BY ALL
+               HAVING sum(tokens) > 0),
+    {"".join(levels)}
+    shares AS (SELECT domain, lang, source, share_source // tokens AS whole,
+                      share_source % tokens AS part
+               FROM leaves JOIN source_s USING (domain, lang, source)),
+    placed AS (SELECT docs.*, whole, part, md5('0-' || whole || '-' || doc_id) AS place
+               FROM docs LEFT JOIN shares USING (domain, lang, source)),
+    summed AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id)
+                         - tokens AS before FROM placed)
+    SELECT doc_id, domain, lang, source, tokens AS n_tokens,
+           CAST(coalesce(whole + CAST(before < part AS INT), 0) AS BIGINT) AS copies
+    FROM summed
+    """
+
+
 #: The same rows in DuckDB's SQL, where SQL can tell them.
 SQL: dict[str, str] = {
+    "op3_mixing": _mix_sql(),
+    "op7_line_dedup": """
+        WITH cut AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS own FROM documents),
+        every AS (SELECT doc_id, unnest(own) AS x, generate_subscripts(own, 1) AS i FROM cut),
+        filled AS (SELECT * FROM every WHERE trim(x) <> ''),
+        windows AS (
+            SELECT doc_id, i, lead(i, 1) OVER w AS i1, lead(i, 2) OVER w AS i2,
+                   [x, lead(x, 1) OVER w, lead(x, 2) OVER w] AS key
+            FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) AS nth
+            FROM windows WHERE i2 IS NOT NULL),
+        gone AS (SELECT DISTINCT doc_id, unnest([i, i1, i2]) AS i FROM ranked WHERE nth > 1),
+        marked AS (
+            SELECT every.*, gone.i IS NOT NULL AS is_gone
+            FROM every LEFT JOIN gone ON every.doc_id = gone.doc_id AND every.i = gone.i),
+        made AS (
+            SELECT doc_id, count(*) FILTER (trim(x) <> '') AS n_lines,
+                   count(*) FILTER (is_gone) AS n_removed,
+                   coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT is_gone), '') AS made_text
+            FROM marked GROUP BY doc_id)
+        SELECT doc_id, n_lines, n_removed, length(made_text) AS n_chars,
+               sha256(made_text) AS text_sha256
+        FROM made
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept,
