@@ -308,19 +308,25 @@ def _joined(relation: str, lags: dict[int, list[str]]) -> str:
 
 
 def _joined_all_months(relation: str, lags: dict[int, list[str]]) -> str:
-    """Every month of ``relation`` as anchor, earlier months joined on a month number."""
-    number = (
-        "cast(substr({0}.snapshot_date, 1, 4) as integer) * 12 "
-        "+ cast(substr({0}.snapshot_date, 5, 2) as integer)"
-    )
+    """Every month of ``relation`` as anchor, earlier months joined on a month number.
+
+    The relation is computed once, with that number as a column to join on.
+    """
     columns = [f'm{i}."{c}" as "{c}_lag{i}"' for i, listed in lags.items() for c in listed]
     joins = "".join(
-        f"\n  left join {relation} m{i} on m{i}.cifno = m0.cifno and "
-        f"{number.format(f'm{i}')} = {number.format('m0')} - {i}"
+        f"\n  left join numbered m{i} on m{i}.cifno = m0.cifno and m{i}.later{i} = m0.number"
         for i in lags
         if i > 0
     )
-    return f"select m0.cifno, m0.snapshot_date,\n    {_lines(columns)}\n  from {relation} m0{joins}"
+    later = ", ".join(f"number + {i} as later{i}" for i in lags if i > 0)
+    return f"""with plain as materialized (
+    select *, cast(substr(snapshot_date, 1, 4) as integer) * 12
+      + cast(substr(snapshot_date, 5, 2) as integer) as number
+    from {relation}),
+  numbered as materialized (select *, {later} from plain)
+  select m0.cifno, m0.snapshot_date,
+    {_lines(columns)}
+  from numbered m0{joins}"""
 
 
 def _mean(source: str, span: int) -> str:
@@ -527,6 +533,7 @@ def statements() -> dict[str, str]:
             f"select * from fx_cifsumm where snapshot_date = '{ANCHOR}'",
         ),
         "lag_history": _query(bal, _joined("bal", _BALANCE_LAGS)),
+        "preview_limit": "select * from region",
         "balance_clean": _query(bal, "select * from bal"),
         "balance_window": _query(BALANCE_WINDOW, "select * from balance_window"),
         "balance_window_backfill": _query(

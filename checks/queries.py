@@ -133,7 +133,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_partition_overwrite": roundtrip_partition_overwrite,
     "feature_upsert": feature_upsert,
     "run_report": run_report,
-    "preview_limit": lambda s, d: preview(rel.fx_phsumm(s, d)),
+    "preview_limit": lambda s, d: preview(s.read.parquet(f"{d}/region.parquet")),
     # Cleaning
     "sanitize_columns": lambda s, d: cleaning.sanitize_columns(rel.fx_dirty(s, d)),
     "clean_strings": _tidied,

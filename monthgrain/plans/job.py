@@ -184,18 +184,18 @@ FEATURE_SETS = (
     FeatureSet("axa_avr", "axa_avr", 1, holdings.axa_avr),
     FeatureSet("trx_net", "axa_tran_net", 6, _checked(transactions.trx_net)),
     FeatureSet("trx_outflow", "trx_outflow", 6, transactions.trx_outflow),
-    FeatureSet(
-        "trx_outflow_purchase",
-        "trx_outflow_payment_purchase",
-        6,
-        transactions.trx_outflow_purchase,
-    ),
     FeatureSet("debit_edc", "debitcard_trx_edc_cif", 6, _checked(transactions.debit_edc)),
     FeatureSet("credit_type", "cc_type_cnt", 1, holdings.card_types),
     FeatureSet("debit_type", "dc_type_cnt", 1, holdings.card_types),
 )
 
 
+def _purchases(types: Sequence[str]) -> FeatureSet:
+    """Purchases with a column pair for each configured type; the totals cover all types."""
+    build = partial(transactions.trx_outflow_purchase, types=types)
+    return FeatureSet("trx_outflow_purchase", "trx_outflow_payment_purchase", 6, build)
+
+
 def _read_clean(warehouse: Warehouse, source: str, snapshot: str, months: int) -> DataFrame:
     """Clean months up to the anchor, which must be there; earlier ones may be missing."""
     table = Source(source).clean_table
@@ -238,10 +238,11 @@ def run_features(
     snapshot: str,
     names: Sequence[str] | None = None,
     at_once: int = 4,
+    purchase_types: Sequence[str] = (),
 ) -> DataFrame:
     """Build and merge the month's feature sets; returns the run report.
 
-    The loan-deducted balances come last, as they read other feature sets.
+    ``purchase_types`` are the transaction types that get columns of their own. The loan-deducted balances come last, as they read other feature sets.
     """
 
     def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], int]:
@@ -252,7 +253,7 @@ def run_features(
             _read_clean(warehouse, feature_set.source, snapshot, feature_set.months), snapshot
         )
 
-    first = {f.name: job(f.name, from_clean(f)) for f in FEATURE_SETS}
+    first = {f.name: job(f.name, from_clean(f)) for f in (*FEATURE_SETS, _purchases(purchase_types))}
     then = {
         "balance_loan": job("balance_loan", lambda: _balance_loan(warehouse, snapshot)),
         "balance_deduct": job("balance_deduct", lambda: _balance_deduct(warehouse, snapshot)),
@@ -280,11 +281,13 @@ def run_month(
     snapshot: str,
     sources: Sequence[Source] = SOURCES,
     at_once: int = 4,
+    purchase_types: Sequence[str] = (),
 ) -> DataFrame:
     """Ingest, clean and build features for one month; returns the three reports together."""
     ingested = run_ingest(warehouse, landing, snapshot, sources, at_once)
     cleaned = run_cleaning(warehouse, snapshot, sources, at_once)
-    return ingested.unionByName(cleaned).unionByName(run_features(warehouse, snapshot, at_once=at_once))
+    built = run_features(warehouse, snapshot, at_once=at_once, purchase_types=purchase_types)
+    return ingested.unionByName(cleaned).unionByName(built)
 
 
 def register_feature_table(

@@ -50,12 +50,6 @@ EDC_GROUPS: dict[str, tuple[str, ...]] = {
     "offus": ("offus",),
 }
 
-# Purchase types found in the data are a column each, so there may not be many. Beyond the
-# smaller number, rows are added up by type before they are spread over the columns.
-MOST_PURCHASE_TYPES = 1000
-FEW_PURCHASE_TYPES = 32
-
-
 def _lags(anchor: Sequence[str], older: Sequence[str]) -> Lags:
     return {0: anchor} | {lag: older for lag in range(1, 6)}
 
@@ -74,8 +68,9 @@ def _trends(measures: Mapping[str, str]) -> list[str]:
     return changes + stats
 
 
-def _without_lags(df: DataFrame) -> list[str]:
-    return [ref(c) for c in df.columns if "_lag" not in c]
+def _own(names: Sequence[str]) -> list[str]:
+    """The key, the month and the anchor's measures, whatever they are called."""
+    return [ref(c) for c in (KEY, MONTH, *names)]
 
 
 def _zero_filled(names: Sequence[str]) -> dict[str, str]:
@@ -99,7 +94,7 @@ def trx_net(
     wide = attach_history(rows, lags, snapshot, unique=unique, since=since, until=until)
     wide = _anchor_named(wide, names)
     return wide.selectExpr(
-        *_without_lags(wide),
+        *_own(names),
         "sum_cd - sum_db AS sum_cd_db_diff",
         "num_cd - num_db AS num_cd_db_diff",
         *_trends({"sum_db": "db", "sum_cd": "cd"}),
@@ -154,44 +149,35 @@ def trx_outflow(
     wide = attach_history(rows, lags, snapshot, sums=sums, since=since, until=until)
     wide = _anchor_named(wide, measures)
     return wide.selectExpr(
-        *_without_lags(wide), *_outflow_shares(measures), *_trends({OUTFLOW_TOTAL: "trxout"})
+        *_own(measures), *_outflow_shares(measures), *_trends({OUTFLOW_TOTAL: "trxout"})
     )
 
 
 # Purchases -----------------------------------------------------------------------------------
 
 
-def purchase_types(df: DataFrame, snapshot: str) -> list[str]:
-    """Sorted transaction types of a month, without null. Runs a small aggregation."""
-    found = (
-        scan_snapshot(df, snapshot)
-        .where("transaction_type IS NOT NULL")
-        .select("transaction_type")
-        .distinct()
-        .take(MOST_PURCHASE_TYPES + 1)
-    )
-    if len(found) > MOST_PURCHASE_TYPES:
-        raise ValueError(f"more than {MOST_PURCHASE_TYPES} transaction types in {snapshot}")
-    return sorted(r[0] for r in found)
-
-
-def _by_type(rows: DataFrame, types: Sequence[str]) -> DataFrame:
-    """With many types, one row per customer, month and type; else the rows as they are.
-
-    A row then need not be held against every type.
-    """
-    if len(types) <= FEW_PURCHASE_TYPES:
-        return rows
+def _by_type(rows: DataFrame) -> DataFrame:
+    """One row per customer, month and type, so that no row is held against every type."""
     return rows.groupBy(KEY, MONTH, "transaction_type").agg(
         F.sum("frek").alias("frek"), F.sum("nominal").alias("nominal")
     )
 
 
+def _reject_clashes(types: Sequence[str]) -> None:
+    """Types that would make the same columns, also as the totals, are an error."""
+    seen = {"sum_purchase": "the totals"}
+    for t in types:
+        if (other := seen.get(t.lower())) is not None:
+            raise ValueError(f"transaction type {t!r} has the same columns as {other}")
+        seen[t.lower()] = repr(t)
+
+
 def _purchase_measures(types: Sequence[str]) -> dict[str, str]:
     """Row expressions to add up: one pair per type, and totals over all types.
 
     The totals cover types that are not listed, too.
     """
+    _reject_clashes(types)
     count, amount = or_zero("frek"), or_zero("nominal")
     measures = {}
     for t in types:
@@ -217,7 +203,7 @@ def purchase_pivot(df: DataFrame, types: Sequence[str], snapshot: str | None = N
     if snapshot is not None:
         rows = scan_snapshot(rows, snapshot)
     sums = [F.expr(named(f"sum({v})", n)) for n, v in _purchase_measures(types).items()]
-    pivoted = _by_type(rows, types).groupBy(KEY, MONTH).agg(*sums)
+    pivoted = _by_type(rows).groupBy(KEY, MONTH).agg(*sums)
     return pivoted.selectExpr("*", *_purchase_shares(types))
 
 
@@ -230,23 +216,19 @@ def trx_outflow_purchase(
 ) -> DataFrame:
     """Purchase pivot of the anchor month and the trend of the purchase amount.
 
-    Without ``types``, those of the anchor month are looked up.
+    The types are configuration and have to be given, so that every month has the same columns.
     """
     rows = rename_if_absent(df, "customer_no", KEY)
     if types is None:
-        if snapshot is None:
-            raise ValueError("transaction types must be given when there is no single anchor")
-        types = purchase_types(rows, snapshot)
+        raise ValueError("transaction types must be given")
     sums = _purchase_measures(types)
     lags = _lags(list(sums), ("sum_purchase_freq", "sum_purchase_amt"))
     if snapshot is not None:
         rows = scan_snapshot(rows, *months_back(snapshot, len(lags)))
-    wide = attach_history(
-        _by_type(rows, types), lags, snapshot, sums=sums, since=since, until=until
-    )
+    wide = attach_history(_by_type(rows), lags, snapshot, sums=sums, since=since, until=until)
     wide = _anchor_named(wide, list(sums))
     return wide.selectExpr(
-        *_without_lags(wide),
+        *_own(list(sums)),
         *_purchase_shares(types),
         *_trends({"sum_purchase_amt": "purchase_amt"}),
     )
@@ -326,7 +308,7 @@ def debit_edc(
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
     lags = _lags(names, _EDC_TOTALS)
     wide = attach_history(rows, lags, snapshot, unique=unique, since=since, until=until)
+    history = {lag_name(n, lag) for lag, listed in lags.items() for n in listed}
     wide = _rolled_up(_anchor_named(wide, names), groups)
-    return wide.selectExpr(
-        *_without_lags(wide), *_trends({"sum_sv": "sv", "sum_freq": "freq"})
-    )
+    own = [ref(c) for c in wide.columns if c not in history]
+    return wide.selectExpr(*own, *_trends({"sum_sv": "sv", "sum_freq": "freq"}))

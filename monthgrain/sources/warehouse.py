@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -22,13 +21,10 @@ RAW, CLEAN, FEATURES, AUDIT = "raw", "clean", "features", "audit"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name in the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without that setting it is beside the tables of the session's warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="monthgrain-")
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/monthgrain-{uuid.uuid4().hex}"
 
 

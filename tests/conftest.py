@@ -9,7 +9,9 @@ from checks.compare import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    os.environ["PYSPARK_SUBMIT_ARGS"] = f"--conf spark.checkpoint.dir={shared} pyspark-shell"
     spark = session("monthgrain-tests")
     spark.sparkContext.setLogLevel("ERROR")
     yield spark

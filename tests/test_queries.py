@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import difference, duck
+from checks.oracle import statements
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,17 +15,15 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(statements()))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, FOLDER, name) is None
 
 
-def test_all_queries_but_the_preview_have_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"preview_limit"}
-
-
-def test_preview(spark):
-    assert contract.queries()["preview_limit"](spark, FOLDER).count() == 5
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(statements())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -76,8 +76,7 @@ def test_purchases_count_unlisted_types_in_the_totals(spark):
         ("a", "200104", "Z", 2.0, 50.0),
     ]
     df = spark.createDataFrame(data, BUY)
-    assert trx.purchase_types(df, "200106") == ["X", "Y"]
-    (row,) = trx.trx_outflow_purchase(df, "200106").collect()
+    (row,) = trx.trx_outflow_purchase(df, "200106", ["X", "Y"]).collect()
     assert (row.X_freq, row.Y_freq, row.sum_purchase_freq) == (1.0, 1.0, 3.0)
     assert (row.X_amt_per, row.Y_amt_per, row.sum_purchase_amt) == (0.3, 0.6, 100.0)
     assert row.purchase_amt_lm_lm3_diff == 1.0 and row.mean_purchase_amt_lm3 == 75.0
@@ -85,33 +84,27 @@ def test_purchases_count_unlisted_types_in_the_totals(spark):
 
 def test_purchase_types_with_odd_names(spark):
     df = spark.createDataFrame([("a", "200106", "O'Neil's - 5%", 1.0, 2.0)], BUY)
-    out = trx.trx_outflow_purchase(df, "200106")
+    out = trx.trx_outflow_purchase(df, "200106", ["O'Neil's - 5%"])
     assert rows(out, "O'Neil's - 5%_amt", "O'Neil's - 5%_amt_per") == [(2.0, 1.0)]
 
 
-def test_many_types_are_folded_first(spark, monkeypatch):
-    pick = random.Random(6)
-    months = ("200106", "200104", "200101", "199912")
-    data = [
-        (f"{pick.randint(0, 9)}", pick.choice(months), pick.choice(["X", "Y", None, "Z"]), 1.0, n)
-        for n in [None, 1.0, 2.0, 0.5] * 40
-    ]
-    df = spark.createDataFrame(data, BUY)
-    for snapshot in ("200106", None):
-        plain = rows(trx.trx_outflow_purchase(df, snapshot, ["X", "Y"]))
-        with monkeypatch.context() as m:
-            m.setattr(trx, "FEW_PURCHASE_TYPES", 1)
-            assert rows(trx.trx_outflow_purchase(df, snapshot, ["X", "Y"])) == plain
-    pivoted = rows(trx.purchase_pivot(df, ["X", "Y"]))
-    monkeypatch.setattr(trx, "FEW_PURCHASE_TYPES", 1)
-    assert rows(trx.purchase_pivot(df, ["X", "Y"])) == pivoted
-
-
-def test_too_many_types(spark, monkeypatch):
-    monkeypatch.setattr(trx, "MOST_PURCHASE_TYPES", 1)
-    data = [("a", "200106", t, 1.0, 1.0) for t in "XY"]
-    with pytest.raises(ValueError, match="more than 1"):
-        trx.purchase_types(spark.createDataFrame(data, BUY), "200106")
+def test_names_with_lag_are_kept(spark):
+    df = spark.createDataFrame([("a", "200106", "pay_lagoon", 2.0, 5.0)], BUY)
+    out = trx.trx_outflow_purchase(df, "200106", ["pay_lagoon"])
+    assert rows(out, "pay_lagoon_freq", "pay_lagoon_amt") == [(2.0, 5.0)]
+    net = spark.createDataFrame(
+        [("a", "200106", 1.0, 2.0, 3.0, 4.0, 5.0)],
+        "cifno string, snapshot_date string, sum_cd double, sum_db double, "
+        "num_cd double, num_db double, avg_lag_days double",
+    )
+    assert rows(trx.trx_net(net, "200106"), "avg_lag_days") == [(5.0,)]
+
+
+@pytest.mark.parametrize("types", [["Pay", "PAY"], ["sum_purchase"]])
+def test_clashing_types(spark, types):
+    df = spark.createDataFrame([], BUY)
+    with pytest.raises(ValueError, match=types[-1]):
+        trx.purchase_pivot(df, types)
 
 
 def test_backfill_needs_types(spark):
