@@ -24,7 +24,7 @@ LONG_WORD = 256
 #: Words of up to so many bytes are merged side by side.
 SHORT_WORD = 64
 #: Pieces remembered by one task.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: White space of the vocabulary's own pattern engine; Python's also has U+001C to U+001F.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTROL = re.compile("[\x1c-\x1f]")
@@ -126,14 +126,14 @@ class WordBpe:
         wide = int(length.max(initial=0)) + 2
         column = np.arange(wide)
         inside = (column >= 1) & (column <= length[:, None])
-        ids = np.full((n, wide), -1, np.int64)
+        ids = np.full((n, wide), -1, np.int32)
         ids[inside] = self.inner_at[np.frombuffer(b"".join(words), np.uint8)]
         row = np.arange(n)
         final = np.array([w[-1] for w in words], np.uint8)
         ids[row, length] = self.last_at[final]
-        after = np.tile(column + 1, (n, 1))
-        before = np.tile(column - 1, (n, 1))
-        ranks = np.full((n, wide), none, np.int64)
+        after = np.tile((column + 1).astype(np.int32), (n, 1))
+        before = np.tile((column - 1).astype(np.int32), (n, 1))
+        ranks = np.full((n, wide), none, np.int32)
         ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
         out: list[bytes] = [b""] * n
         word = np.arange(n)
@@ -158,7 +158,8 @@ class WordBpe:
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs; the number of merges where a pair has none."""
-        pair = np.where((left < 0) | (right < 0), -1, left * len(self.token) + right)
+        pair = left.astype(np.int64) * len(self.token) + right
+        pair[(left < 0) | (right < 0)] = -1
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         return np.where(self.pairs[at] == pair, self.pair_rank[at], len(self.merged))
 
@@ -217,9 +218,12 @@ class WordBpe:
         return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
-        """The tokens with a space between each two, as the vocabulary names no decoder."""
-        token = self.token
-        return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return joined(self.token, ids)
+
+
+def joined(token: list[str], ids: bytes) -> str:
+    """The tokens with a space between each two, as the vocabulary names no decoder."""
+    return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -227,7 +231,16 @@ def _loaded(spec: str) -> WordBpe:
     return WordBpe(spec)
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+@lru_cache(maxsize=2)
+def _tokens(spec: str) -> list[str]:
+    """The names of the tokens by id, which is all that decoding needs."""
+    data = json.loads(spec)
+    names = {i: name for name, i in data["model"]["vocab"].items()}
+    names |= {t["id"]: t["content"] for t in data["added_tokens"]}
+    return [names.get(i, "") for i in range(1 + max(names))]
+
+
+def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
 
 
@@ -275,9 +288,9 @@ def decode(df: DataFrame, vocabulary: str) -> DataFrame:
     at = [c.lower() for c in others].index("token_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(spec.value)
+        token = _tokens(spec.value)
         for batch in (b for whole in batches for b in _slices(whole)):
-            texts = [bpe.decode(i or b"") for i in batch.column(at).to_pylist()]
+            texts = [joined(token, i or b"") for i in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*others, "decoded"]
             )
