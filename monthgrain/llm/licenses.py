@@ -209,7 +209,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per document: id, family, probability, similarity, confirmed, n_notices, families.
 
     Paragraphs are the lines of a text. ``family`` is that of the likeliest notice, or unknown
-    with probability 1 minus that of the likeliest family; ``families`` lists all confirmed ones.
+    with probability 0. ``similarity`` is the share of a notice's word pairs that are there (0 if
+    fewer than two); ``families`` lists all confirmed ones.
     Null and empty texts are unknown. Rows of equal id are told apart by their texts; equal rows
     count as one document and give a row each. No rows give no rows; other columns are ignored.
     """
@@ -239,7 +240,6 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     margins = (
         lines.selectExpr("at", "place", f"explode_outer({weighted}) AS gram")
         .where("gram IS NOT NULL")
-        .distinct()
         .join(F.broadcast(weights), "gram")  # no larger than the notices' n-grams
         .groupBy("at", "place")
         .agg(*[F.sum(f"w{k}").alias(f"w{k}") for k in range(kinds)])
@@ -258,17 +258,22 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             "cast(array_position(m, likely) AS int) - 1) AS family",
         )
     )
-    sure = judged.where(f"p >= {LEAST} AND family <> '{UNKNOWN}'")
+    sure = stored(judged.where(f"p >= {LEAST} AND family <> '{UNKNOWN}'"), "likely")
+    # only lines with two word pairs of notices can confirm one; as an array of one element, so
+    # that the test is not pushed below the words
     templates = notices(spark).select("family", F.col("pairs").alias("notice"))
-    compared = (
-        sure.join(
-            lines.selectExpr("at", "place", f"array_distinct({_grams('words', 2)}) AS pairs"),
-            ["at", "place"],
-        )
+    pairs = sorted({p for r in templates.collect() for p in r.notice})
+    known_pairs = f"filter({_grams('words', 2)}, p -> p IN ({_literals(pairs)}))"
+    compared = lines.selectExpr(
+        "at", "place", f"explode_outer(array(array_distinct({known_pairs}))) AS pairs"
+    ).where("size(pairs) >= 2")
+    likeness = (
+        compared.join(sure, ["at", "place"])
         .join(F.broadcast(templates), "family")
-        .groupBy("at", "place", "family", "p")
+        .groupBy("at", "place")
         .agg(F.max(F.expr("size(array_intersect(notice, pairs)) / size(notice)")).alias("like"))
     )
+    compared = sure.join(likeness, ["at", "place"], "left").fillna(0.0, ["like"])
     best = F.max(F.struct("p", "like", "family"))
     known = stored(
         compared.groupBy("at").agg(
