@@ -37,8 +37,8 @@ CELL_BITS = 20
 SLICES = 64
 #: Bits of a shingle that candidates are found by; overlaps use all 64.
 KEY_BITS = 40
-#: Counts in the histogram of a set.
-BINS = 256
+#: Counts in the histogram of a set, and in that of a set of ``LONG`` shingles or more.
+BINS, FINE_BINS, LONG = 64, 512, 1024
 #: Fragments of the global order.
 FRAGMENTS = 4
 #: Most classes of a block that are compared with each other in one task.
@@ -94,8 +94,16 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _histogram(shingles: np.ndarray) -> bytes:
-    bins = ((shingles >> np.uint64(32)) % np.uint64(BINS)).astype(np.int64)
-    return np.bincount(bins, minlength=BINS).astype("<u4").tobytes()
+    """The counts in as few bytes each as the largest needs, behind that width."""
+    bins = BINS if len(shingles) < LONG else FINE_BINS
+    at = ((shingles >> np.uint64(32)) % np.uint64(bins)).astype(np.int64)
+    counts = np.bincount(at, minlength=bins)
+    width = next(w for w in (1, 2, 4) if w == 4 or counts.max() < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _counts(histogram: bytes) -> np.ndarray:
+    return np.frombuffer(histogram, f"<u{histogram[0]}", offset=1).astype(np.int64)
 
 
 def _short(digest: bytes) -> int:
@@ -296,16 +304,33 @@ def _near(n: np.ndarray, chunk: np.ndarray, join: Join) -> np.ndarray:
 
 
 def _bounded(rows: list[tuple], allowed: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """The allowed pairs whose histograms leave room for a link."""
-    bins = np.stack([np.frombuffer(r[6], "<u4") for r in rows]).astype(np.int64)
-    n = bins.sum(1)
+    """The allowed pairs whose histograms leave room for a link.
+
+    Pairs of two long sets are held against their finer histograms, too.
+    """
+    counts = [_counts(r[6]) for r in rows]
+    coarse = np.stack([c.reshape(-1, BINS).sum(0) for c in counts])
+    n = coarse.sum(1)
+
+    def kept(i: np.ndarray, j: np.ndarray, bins: np.ndarray, at: np.ndarray) -> np.ndarray:
+        keep = np.zeros(len(i), bool)
+        for start in range(0, len(i), 8192):
+            a, b = i[start : start + 8192], j[start : start + 8192]
+            most = np.minimum(bins[at[a]], bins[at[b]]).sum(1)
+            keep[start : start + 8192] = most * join.den >= join.num * (n[a] + n[b] - most)
+        return keep
+
     i, j = np.nonzero(allowed)
-    keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 8192):
-        a, b = i[at : at + 8192], j[at : at + 8192]
-        most = np.minimum(bins[a], bins[b]).sum(1)
-        keep[at : at + 8192] = most * join.den >= join.num * (n[a] + n[b] - most)
-    return i[keep], j[keep]
+    keep = kept(i, j, coarse, np.arange(len(rows)))
+    i, j = i[keep], j[keep]
+    long = np.array([len(c) > BINS for c in counts])
+    both = long[i] & long[j]
+    if both.any():
+        fine = np.stack([c for c in counts if len(c) > BINS])
+        keep = ~both
+        keep[both] = kept(i[both], j[both], fine, np.cumsum(long) - 1)
+        i, j = i[keep], j[keep]
+    return i, j
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from monthgrain.llm import exact, jaccard, lines
@@ -104,3 +105,24 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(path, "u long, v long")).collect()
     got = {r.node: r.component for r in found}
     assert got == {k: 0 for k in range(41)} | {90: 90, 95: 90, 100: 90}
+
+
+def test_screen_keeps_every_link():
+    """Short and long sets, with counts of one and of several bytes."""
+    pick = np.random.default_rng(3)
+    sets = []
+    for n in (3, 60, 1000, 1100, 5000, 200_000):
+        base = pick.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, n // 40, n // 9, n // 2):
+            own = base.copy()
+            own[:changed] = pick.integers(0, 1 << 63, changed, dtype=np.uint64)
+            sets.append(own)
+    rows = [(*[None] * 6, jaccard._histogram(s)) for s in sets]
+    allowed = np.triu(np.ones((len(sets), len(sets)), bool), 1)
+    for join in (jaccard.Join(), jaccard.Join(3, 90, 100)):
+        found = set(zip(*(k.tolist() for k in jaccard._bounded(rows, allowed, join)), strict=True))
+        for i, j in zip(*np.nonzero(allowed), strict=True):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            links = both * join.den >= join.num * (len(sets[i]) + len(sets[j]) - both)
+            assert not links or (i, j) in found
+        assert len(found) < allowed.sum()
