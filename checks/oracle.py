@@ -524,7 +524,25 @@ _CUSTOMER_TEXT = """cast(c_custkey as varchar) as c_custkey, c_name,
   cast(cast(c_acctbal as decimal(18,2)) as varchar) as c_acctbal, c_mktsegment"""
 
 
+#: Queries over rows known to be unique, and those with the same result.
+UNIQUE = {
+    "balance_window_unique": "balance_window",
+    "trx_net_unique": "trx_net",
+    "trx_net_backfill_unique": "trx_net_backfill",
+    "edc_unique": "edc_features",
+    "loan_diff_unique": "loan_diff",
+}
+
+
 def statements() -> dict[str, str]:
+    """The SQL of every query; for rows known to be unique the results are the same."""
+    found = _statements()
+    for name, same in UNIQUE.items():
+        found[name] = found[same]
+    return found
+
+
+def _statements() -> dict[str, str]:
     bal = [*_BALANCE_BASE]
     net = [LI, FX_TRAN_NET]
     return {
@@ -673,13 +691,15 @@ filled as (
             "select * from v2 union all (select * from v1 anti join v2 using (cifno, snapshot_date))",
         ),
         "run_report": f"""with c as (select count(*) as n from customer)
-select stage, source, '{CALL_MONTH}' as snapshot_date, status,
+select stage, source_group, source, '{CALL_MONTH}' as snapshot_date, status,
   case when status = 'ok' then n end as rows,
   error
 from c, (values
-  ('ingest', 'cif_acct_mapping', 'ok', null), ('ingest', 'cc_type_cnt', 'missing', 'MissingFile'),
-  ('ingest', 'tso', 'ok', null), ('clean', 'cif_acct_mapping', 'ok', null), ('clean', 'tso', 'ok', null)
-) as t(stage, source, status, error)""",
+  ('ingest', 'bank', 'cc_type_cnt', 'missing', 'MissingFile'),
+  {", ".join(f"('{stage}', '{g}', '{n}', 'ok', null)"
+             for stage in ("ingest", "clean")
+             for g, n in (("bank", "cif_acct_mapping"), ("calls", "tso"), ("bank", "same"), ("calls", "same")))}
+) as t(stage, source_group, source, status, error)""",
     }
 
 

@@ -16,8 +16,8 @@ from monthgrain.operators import cleaning
 from monthgrain.operators.snapshots import preview, scan_snapshot
 from monthgrain.plans import balance, holdings, job, labels, transactions
 from monthgrain.sources.delimited import read_source
-from monthgrain.sources.manifest import SOURCES, Source
-from monthgrain.sources.warehouse import FEATURES, RAW, Warehouse, shared_folder
+from monthgrain.sources.manifest import CALLS, SOURCES, Source
+from monthgrain.sources.warehouse import AUDIT, FEATURES, RAW, Warehouse, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +48,9 @@ def _customer_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _land(spark: SparkSession, folder: str, landing: str, names: list[str]) -> None:
-    """Write the customers as this month's file of each named source."""
-    for name in names:
-        source = _source(name)
+def _land(spark: SparkSession, folder: str, landing: str, sources: list[Source]) -> None:
+    """Write the customers as this month's file of each source."""
+    for source in sources:
         _customer_text(spark, folder).write.option("header", True).option("sep", source.sep).csv(
             f"{landing}/{CALL_MONTH}/{source.file_name(CALL_MONTH)}"
         )
@@ -59,7 +58,7 @@ def _land(spark: SparkSession, folder: str, landing: str, names: list[str]) -> N
 
 def ingest_delimited(spark: SparkSession, folder: str) -> DataFrame:
     root = shared_folder(spark)
-    _land(spark, folder, f"{root}/landing", ["cif_acct_mapping"])
+    _land(spark, folder, f"{root}/landing", [_source("cif_acct_mapping")])
     warehouse = Warehouse(spark, root)
     source = _source("cif_acct_mapping")
     job.run_ingest(warehouse, f"{root}/landing", CALL_MONTH, [source])
@@ -69,7 +68,7 @@ def ingest_delimited(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_multi_sep(spark: SparkSession, folder: str) -> DataFrame:
     landing = f"{shared_folder(spark)}/landing"
     names = ["all_status", "tso"]
-    _land(spark, folder, landing, names)
+    _land(spark, folder, landing, [_source(n) for n in names])
     read = [
         read_source(spark, landing, _source(n), CALL_MONTH).withColumn("source", F.lit(n))
         for n in names
@@ -78,13 +77,17 @@ def ingest_multi_sep(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored report, with two sources of one name and one source ingested again."""
     root = shared_folder(spark)
-    _land(spark, folder, f"{root}/landing", ["cif_acct_mapping", "tso"])
+    tso = _source("tso")
+    there = [_source("cif_acct_mapping"), tso, Source("same"), Source("same", CALLS, sep=",")]
+    _land(spark, folder, f"{root}/landing", there)
     warehouse = Warehouse(spark, root)
-    sources = [_source(n) for n in ("cif_acct_mapping", "cc_type_cnt", "tso")]
-    ingested = job.run_ingest(warehouse, f"{root}/landing", CALL_MONTH, sources)
-    cleaned = job.run_cleaning(warehouse, CALL_MONTH, sources)
-    report = ingested.unionByName(cleaned)
+    sources = [*there, _source("cc_type_cnt")]
+    job.run_ingest(warehouse, f"{root}/landing", CALL_MONTH, sources)
+    job.run_cleaning(warehouse, CALL_MONTH, sources)
+    job.run_ingest(warehouse, f"{root}/landing", CALL_MONTH, [tso])
+    report = warehouse.read(AUDIT, job.REPORT, [CALL_MONTH])
     return report.withColumn("error", F.split_part("error", F.lit(":"), F.lit(1)))
 
 
@@ -159,8 +162,17 @@ QUERIES: dict[str, Query] = {
     "balance_deduct": lambda s, d: rounded(
         balance.balance_deduct(rel.fx_cifsumm(s, d), _loans(s, d), ANCHOR)
     ),
+    "balance_window_unique": lambda s, d: rounded(
+        balance.balance_window(rel.fx_cifsumm(s, d), ANCHOR, unique=True)
+    ),
     # Transactions
     "trx_net": lambda s, d: rounded(transactions.trx_net(rel.fx_tran_net(s, d), ANCHOR)),
+    "trx_net_unique": lambda s, d: rounded(
+        transactions.trx_net(rel.fx_tran_net(s, d), ANCHOR, unique=True)
+    ),
+    "trx_net_backfill_unique": lambda s, d: rounded(
+        transactions.trx_net(rel.fx_tran_net(s, d), unique=True)
+    ),
     "trx_net_backfill": lambda s, d: rounded(transactions.trx_net(rel.fx_tran_net(s, d))),
     "outflow_shares": lambda s, d: rounded(transactions.outflow_shares(rel.fx_outflow(s, d))),
     "outflow_features": lambda s, d: rounded(
@@ -175,6 +187,9 @@ QUERIES: dict[str, Query] = {
     "edc_groups": lambda s, d: rounded(transactions.edc_groups(rel.fx_edc(s, d))),
     "edc_features": lambda s, d: rounded(transactions.debit_edc(rel.fx_edc(s, d), ANCHOR)),
     "edc_backfill": lambda s, d: rounded(transactions.debit_edc(rel.fx_edc(s, d))),
+    "edc_unique": lambda s, d: rounded(
+        transactions.debit_edc(rel.fx_edc(s, d), ANCHOR, unique=True)
+    ),
     # Holdings
     "product_holding": lambda s, d: holdings.product_counts(rel.fx_phsumm(s, d), ANCHOR).drop(
         *holdings.OPEN_DATES
@@ -185,6 +200,9 @@ QUERIES: dict[str, Query] = {
     ),
     "saving_account_nulls": lambda s, d: rounded(holdings.saving_acct(rel.fx_phsumm(s, d))),
     "loan_diff": lambda s, d: rounded(_loans(s, d)),
+    "loan_diff_unique": lambda s, d: rounded(
+        holdings.loan_diff(rel.fx_phsumm(s, d), ANCHOR, unique=True)
+    ),
     "avr_balance": lambda s, d: rounded(holdings.axa_avr(rel.fx_avr(s, d), ANCHOR)),
     "card_type_counts": lambda s, d: holdings.card_types(rel.fx_card(s, d), ANCHOR),
     # Labels

@@ -26,13 +26,20 @@ from monthgrain.sources.manifest import BANK, CALLS, SOURCES, Source
 from monthgrain.sources.warehouse import AUDIT, CLEAN, FEATURES, RAW, Warehouse
 
 REPORT = "run_report"
-REPORT_SCHEMA = "stage string, source string, snapshot_date string, status string, rows long, error string"
+REPORT_SCHEMA = (
+    "stage string, source_group string, source string, snapshot_date string, "
+    "status string, rows long, error string"
+)
 
 OK, MISSING, EMPTY, FAILED = "ok", "missing", "empty", "failed"
 
 FEATURE_KEYS = (KEY, MONTH)
 
 
+#: Group and name of a source, or ``FEATURES`` and the name of a feature set.
+Name = tuple[str, str]
+
+
 class NoRows(ValueError):
     """A source has no rows for the month."""
 
@@ -51,25 +58,23 @@ def _replace_month(
     return rows
 
 
-def _outcome(
-    stage: str, name: str, snapshot: str, work: Callable[[], int | None]
-) -> tuple[str, str, str, str, int | None, str | None]:
+def _outcome(stage: str, name: Name, snapshot: str, work: Callable[[], int | None]) -> tuple:
     try:
-        return stage, name, snapshot, OK, work(), None
+        return stage, *name, snapshot, OK, work(), None
     except MissingFile as error:
-        return stage, name, snapshot, MISSING, None, f"{type(error).__name__}: {error}"
+        return stage, *name, snapshot, MISSING, None, f"{type(error).__name__}: {error}"
     except NoRows as error:
-        return stage, name, snapshot, EMPTY, 0, f"{type(error).__name__}: {error}"
+        return stage, *name, snapshot, EMPTY, 0, f"{type(error).__name__}: {error}"
     except Exception as error:
         what = str(error).partition("\n")[0]
-        return stage, name, snapshot, FAILED, None, f"{type(error).__name__}: {what}"
+        return stage, *name, snapshot, FAILED, None, f"{type(error).__name__}: {what}"
 
 
 def _run_all(
     warehouse: Warehouse,
     stage: str,
     snapshot: str,
-    work: dict[str, Callable[[], int | None]],
+    work: dict[Name, Callable[[], int | None]],
     at_once: int,
 ) -> list[tuple]:
     with ThreadPoolExecutor(max_workers=at_once) as pool:
@@ -79,9 +84,9 @@ def _run_all(
 
 
 def _report(warehouse: Warehouse, outcomes: Iterable[tuple]) -> DataFrame:
-    """Store outcomes, a row per source, in the audit layer; a repeated stage replaces its own."""
+    """Store outcomes, a row per source, in the audit layer; a source run again replaces its own."""
     report = warehouse.spark.createDataFrame(list(outcomes), REPORT_SCHEMA)
-    warehouse.replace_months(AUDIT, REPORT, report.coalesce(1), by=(MONTH, "stage"))
+    warehouse.replace_months(AUDIT, REPORT, report.coalesce(1), by=(MONTH, "stage", "source_group", "source"))
     return report
 
 
@@ -104,7 +109,7 @@ def run_ingest(
 
         return run
 
-    work = {s.name: job(s) for s in sources}
+    work = {(s.group, s.name): job(s) for s in sources}
     return _report(warehouse, _run_all(warehouse, "ingest", snapshot, work, at_once))
 
 
@@ -154,7 +159,7 @@ def run_cleaning(
     work = {}
     for group in (BANK, CALLS):
         for name in warehouse.sources(RAW, group):
-            work[name] = job(described.get((group, name), Source(name, group)))
+            work[group, name] = job(described.get((group, name), Source(name, group)))
     return _report(warehouse, _run_all(warehouse, "clean", snapshot, work, at_once))
 
 
@@ -242,7 +247,8 @@ def run_features(
 ) -> DataFrame:
     """Build and merge the month's feature sets; returns the run report.
 
-    ``purchase_types`` are the transaction types that get columns of their own. The loan-deducted balances come last, as they read other feature sets.
+    ``purchase_types`` are the transaction types that get columns of their own. The
+    loan-deducted balances come last, as they read other feature sets.
     """
 
     def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], int]:
@@ -260,7 +266,7 @@ def run_features(
     }
     outcomes = []
     for wave in (first, then):
-        wanted = {n: w for n, w in wave.items() if names is None or n in names}
+        wanted = {(FEATURES, n): w for n, w in wave.items() if names is None or n in names}
         outcomes += _run_all(warehouse, "features", snapshot, wanted, at_once)
     return _report(warehouse, outcomes)
 
