@@ -70,7 +70,8 @@ def drop_repeated_lines(
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     cuts = stored(repeated_lines(docs.selectExpr(f"{at} AS at", f"{text} AS text"), window), "cuts")
     held = docs.select(F.expr(at).alias("at"), F.struct(*[f"`{c}`" for c in others]).alias("row"))
-    found = held.join(cuts, "at", "left")
+    # one plan at every size: a merge join, whose hot or long runs Spark can split
+    found = held.join(cuts.hint("merge"), "at", "left")
     lines = f"split(row.`{text_col}`, '\\n', -1)"
     kept = f"transform(array_except(sequence(0, size({lines}) - 1), cut), i -> {lines}[i])"
     rebuilt = f"if(cut IS NULL, row.`{text_col}`, array_join({kept}, '\\n'))"
