@@ -601,7 +601,8 @@ def jaccard_groups(
         ),
         "wanted",
     )
-    segments = _segments(known.join(wanted, "id"), join, order)
+    # one plan at every size: texts move once, by a merge join
+    segments = _segments(known.join(wanted.hint("merge"), "id"), join, order)
     partial = (
         segments.repartition(parts, "block", "tile", "fragment")
         .sortWithinPartitions("block", "tile", "fragment", "digest")
