@@ -6,7 +6,7 @@ does not stop the rest. What happened to each is returned, and stored, as a run
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -31,7 +31,7 @@ REPORT_SCHEMA = (
     "status string, rows long, error string"
 )
 
-OK, MISSING, EMPTY, FAILED = "ok", "missing", "empty", "failed"
+OK, MISSING, EMPTY, FAILED, SKIPPED = "ok", "missing", "empty", "failed", "skipped"
 
 FEATURE_KEYS = (KEY, MONTH)
 
@@ -83,6 +83,16 @@ def _run_all(
         return [r.result() for r in runs]
 
 
+def _skipped(stage: str, names: Iterable[Name], snapshot: str) -> list[tuple]:
+    why = "an earlier stage of this run was not ok"
+    return [(stage, *name, snapshot, SKIPPED, None, why) for name in names]
+
+
+def _not_ok(report: DataFrame) -> set[Name]:
+    """What a stage did not bring up to date; later stages must not build on older rows of it."""
+    return {(r.source_group, r.source) for r in report.where(f"status <> '{OK}'").collect()}
+
+
 def _report(warehouse: Warehouse, outcomes: Iterable[tuple]) -> DataFrame:
     """Store outcomes, a row per source, in the audit layer; a source run again replaces its own."""
     report = warehouse.spark.createDataFrame(list(outcomes), REPORT_SCHEMA)
@@ -139,9 +149,12 @@ def run_cleaning(
     snapshot: str,
     sources: Sequence[Source] = SOURCES,
     at_once: int = 4,
+    skip: Collection[Name] = (),
 ) -> DataFrame:
     """Clean the month of every raw table found; returns the run report.
 
+    Those in ``skip`` keep the clean rows they have, if any, and are reported as skipped.
+
     Where customers must have one row a month, repeated or missing ids fail the source. Raw
     tables that ``sources`` does not describe are cleaned by the default rules.
     """
@@ -159,8 +172,10 @@ def run_cleaning(
     work = {}
     for group in (BANK, CALLS):
         for name in warehouse.sources(RAW, group):
-            work[group, name] = job(described.get((group, name), Source(name, group)))
-    return _report(warehouse, _run_all(warehouse, "clean", snapshot, work, at_once))
+            if (group, name) not in skip:
+                work[group, name] = job(described.get((group, name), Source(name, group)))
+    outcomes = _run_all(warehouse, "clean", snapshot, work, at_once)
+    return _report(warehouse, outcomes + _skipped("clean", skip, snapshot))
 
 
 # Features ------------------------------------------------------------------------------------
@@ -244,9 +259,13 @@ def run_features(
     names: Sequence[str] | None = None,
     at_once: int = 4,
     purchase_types: Sequence[str] = (),
+    skip: Collection[Name] = (),
 ) -> DataFrame:
     """Build and merge the month's feature sets; returns the run report.
 
+    Feature sets that read a source in ``skip``, or one that this run did not bring up to
+    date, are reported as skipped.
+
     ``purchase_types`` are the transaction types that get columns of their own. The
     loan-deducted balances come last, as they read other feature sets.
     """
@@ -259,15 +278,23 @@ def run_features(
             _read_clean(warehouse, feature_set.source, snapshot, feature_set.months), snapshot
         )
 
-    first = {f.name: job(f.name, from_clean(f)) for f in (*FEATURE_SETS, _purchases(purchase_types))}
+    feature_sets = (*FEATURE_SETS, _purchases(purchase_types))
+    first = {f.name: job(f.name, from_clean(f)) for f in feature_sets}
     then = {
         "balance_loan": job("balance_loan", lambda: _balance_loan(warehouse, snapshot)),
         "balance_deduct": job("balance_deduct", lambda: _balance_deduct(warehouse, snapshot)),
     }
-    outcomes = []
+    reads = {(FEATURES, f.name): {(BANK, f.source)} for f in feature_sets}
+    reads[FEATURES, "balance_loan"] = {(FEATURES, "balance_window"), (FEATURES, "loan_diff")}
+    reads[FEATURES, "balance_deduct"] = {(BANK, "cifsumm"), (FEATURES, "loan_diff")}
+    outcomes, stale = [], set(skip)
     for wave in (first, then):
         wanted = {(FEATURES, n): w for n, w in wave.items() if names is None or n in names}
-        outcomes += _run_all(warehouse, "features", snapshot, wanted, at_once)
+        held_back = [n for n in wanted if reads[n] & stale]
+        outcomes += _skipped("features", held_back, snapshot)
+        work = {n: w for n, w in wanted.items() if n not in held_back}
+        outcomes += _run_all(warehouse, "features", snapshot, work, at_once)
+        stale |= {(o[1], o[2]) for o in outcomes if o[4] != OK}
     return _report(warehouse, outcomes)
 
 
@@ -289,10 +316,20 @@ def run_month(
     at_once: int = 4,
     purchase_types: Sequence[str] = (),
 ) -> DataFrame:
-    """Ingest, clean and build features for one month; returns the three reports together."""
+    """Ingest, clean and build features for one month; returns the three reports together.
+
+    A source that one stage could not bring up to date is skipped by the later ones, so that
+    nothing is built on rows of an earlier delivery.
+    """
     ingested = run_ingest(warehouse, landing, snapshot, sources, at_once)
-    cleaned = run_cleaning(warehouse, snapshot, sources, at_once)
-    built = run_features(warehouse, snapshot, at_once=at_once, purchase_types=purchase_types)
+    cleaned = run_cleaning(warehouse, snapshot, sources, at_once, _not_ok(ingested))
+    built = run_features(
+        warehouse,
+        snapshot,
+        at_once=at_once,
+        purchase_types=purchase_types,
+        skip=_not_ok(cleaned),
+    )
     return ingested.unionByName(cleaned).unionByName(built)
 
 
