@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthgrain.llm import bpe, jaccard, lines, mixing, quality
+from monthgrain.llm import bpe, jaccard, lines, mixing, passages, quality
 from monthgrain.llm.queries import DOMAIN, VOCABULARY, WEIGHTS, table
 from monthgrain.llm.scratch import stored
 
@@ -25,8 +25,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the later occurrences of repeated windows of three lines."""
-    cut = lines.drop_repeated_lines(docs)
+    """Without the later occurrences of windows of three lines, then of runs of 50 words."""
+    cut = stored(lines.drop_repeated_lines(docs).select(*docs.columns), "lines")
+    cut = passages.drop_repeated_passages(cut)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
