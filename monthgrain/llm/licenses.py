@@ -255,12 +255,15 @@ def train(docs: DataFrame, text_col: str = "text", others: int = OTHERS) -> Mode
     other = drawn.where(f"size(array_intersect({_grams('words', 2)}, {pairs})) < 2").selectExpr(
         f"double({FAMILIES.index(UNKNOWN)}) AS label",
         f"cast(pmod(draw, {VERSIONS}) AS int) AS version",
-        "slice(words, 1, 200) AS words",
+        "words",
     )
-    rows = versions.unionByName(other).selectExpr("label", "version", f"{ALL_GRAMS} AS grams")
-    rows = stored(rows.coalesce(1), "licences").where("size(grams) > 0")
     whole = versions.where("version = 0").selectExpr(f"{ALL_GRAMS} AS g").collect()
     vocabulary = sorted({g for r in whole for g in r.g})
+    # whole paragraphs, of which only the notices' n-grams are kept
+    held = f"filter({ALL_GRAMS}, g -> g IN ({_literals(vocabulary)}))"
+    rows = versions.unionByName(other).where("size(words) > 0")
+    rows = rows.selectExpr("label", "version", f"{held} AS grams")
+    rows = stored(rows.coalesce(1), "licences")
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True)
     fitted = LogisticRegression(
         family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=30

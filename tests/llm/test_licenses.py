@@ -27,3 +27,11 @@ def test_versions_variants_and_wrapped_notices(documents):
     assert got == texts
     assert [rows[k].confirmed for k in (5, 6, 8)] == [False, False, True]
     assert rows[8].family == "gpl-3.0" and rows[8].n_notices >= 1
+
+
+def test_whole_paragraphs_are_learnt(documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(licenses, "_margin", lambda m, g: seen.append(set(g)) or [0.0] * 99)
+    docs = documents(*[f"{'x ' * 300}{k} software {k}" for k in range(60)])
+    licenses.train(docs.selectExpr("text"), others=60)
+    assert {"software"} in seen
