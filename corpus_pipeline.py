@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrain.llm import bpe, jaccard, lines, mixing, passages, quality
-from monthgrain.llm.queries import DOMAIN, VOCABULARY, WEIGHTS, table
+from monthgrain.llm.queries import BUDGET, DOMAIN, VOCABULARY, WEIGHTS, table
 from monthgrain.llm.scratch import stored
 
 #: Documents whose probability of good quality is lower are rejected.
@@ -42,8 +42,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of each source to its share of the tokens; one taken twice has two rows."""
-    mixed = mixing.mix(docs, DOMAIN, WEIGHTS)
+    """Documents of each source to its share of ``BUDGET`` of the tokens; one taken twice has two rows."""
+    mixed = mixing.mix(docs, DOMAIN, WEIGHTS, BUDGET)
     taken = mixed.where("copies > 0").withColumn("copies", F.expr("sequence(1L, copies)"))
     return taken.withColumn("copies", F.explode("copies")).select(*docs.columns)
 

@@ -57,11 +57,13 @@ WEIGHTS = {
     "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 3 ELSE 2 END",
     "source": "CASE WHEN source LIKE '%1' THEN 2 ELSE 1 END",
 }
+#: The share of all tokens that is taken.
+BUDGET = (3, 5)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix(docs, DOMAIN, WEIGHTS).select(
+    return mixing.mix(docs, DOMAIN, WEIGHTS, BUDGET).select(
         "doc_id", "domain", "lang", "source", "n_tokens", "copies"
     )
 
