@@ -1,7 +1,7 @@
 """Document fingerprints: sums of wide vectors, one for each paragraph.
 
-A fingerprint is a vector of unsigned 16-bit lanes. Each paragraph is hashed to a vector and
-the vectors are added modulo 2**16, so the order of paragraphs does not matter and paragraphs
+A fingerprint is a vector of unsigned 32-bit lanes. Each paragraph is hashed to a vector and
+the vectors are added modulo 2**32, so the order of paragraphs does not matter and paragraphs
 can be added or taken away later. The first ``LANES`` lanes are uniform hash bytes of the
 paragraph: they tell whether two multisets are equal. The other ``SKETCH`` lanes add +1 or -1
 for each pair of adjacent words in the paragraph: their inner products estimate how much two
@@ -30,7 +30,7 @@ MOST_BUCKETS = 16_384
 
 def paragraph_vectors(paragraphs: list[bytes]) -> np.ndarray:
     """One vector for each paragraph."""
-    out = np.zeros((len(paragraphs), LANES + SKETCH), np.uint16)
+    out = np.zeros((len(paragraphs), LANES + SKETCH), np.uint32)
     if not paragraphs:
         return out
     lanes = b"".join(hashlib.shake_128(p).digest(2 * LANES) for p in paragraphs)
@@ -45,7 +45,7 @@ def paragraph_vectors(paragraphs: list[bytes]) -> np.ndarray:
     sign = np.where(pair & np.uint64(1), 1.0, -1.0)
     at = owner * SKETCH + lane.astype(np.int64)
     sums = np.bincount(at, sign, len(paragraphs) * SKETCH).astype(np.int64)
-    out[:, LANES:] = sums.reshape(-1, SKETCH).astype(np.uint16)
+    out[:, LANES:] = sums.reshape(-1, SKETCH).astype(np.uint32)
     return out
 
 
@@ -62,39 +62,38 @@ def paragraphs(text: str) -> list[bytes]:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    return insert(np.zeros(LANES + SKETCH, np.uint16), paragraphs(text))
+    return insert(np.zeros(LANES + SKETCH, np.uint32), paragraphs(text))
 
 
 def insert(vector: np.ndarray, added: list[bytes]) -> np.ndarray:
     """The fingerprint with some paragraphs more."""
-    return vector + paragraph_vectors(added).sum(0, dtype=np.uint16)
+    return vector + paragraph_vectors(added).sum(0, dtype=np.uint32)
 
 
 def delete(vector: np.ndarray, removed: list[bytes]) -> np.ndarray:
     """The fingerprint with some paragraphs less."""
-    return vector - paragraph_vectors(removed).sum(0, dtype=np.uint16)
+    return vector - paragraph_vectors(removed).sum(0, dtype=np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated share of common word pairs, 0 to 1; 1 for equal fingerprints.
 
-    Exact while no sketch lane exceeds 2**15; beyond that lanes wrap and the estimate of very
-    long texts is poorer, the test of equality is not.
+    Lanes wrap only beyond 2**31 word pairs, more than a text can hold.
     """
     if np.array_equal(a, b):
         return 1.0
-    x, y = (v[LANES:].astype(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[LANES:].astype(np.int32).astype(np.float64) for v in (a, b))
     both = x @ y
     total = x @ x + y @ y - both
     return float(min(1.0, max(0.0, both / total))) if total > 0 else 0.0
 
 
 def encoded(vector: np.ndarray) -> str:
-    return base64.b64encode(vector.astype("<u2").tobytes()).decode()
+    return base64.b64encode(vector.astype("<u4").tobytes()).decode()
 
 
 def decoded(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), "<u2").astype(np.uint16)
+    return np.frombuffer(base64.b64decode(text), "<u4").astype(np.uint32)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
