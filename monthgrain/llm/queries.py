@@ -1,14 +1,15 @@
-"""The queries of the ten operators over their whole tables."""
+"""The queries of the operators over their whole tables."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrain.llm import (
+    alignment,
     bpe,
     chat,
     exact,
@@ -17,15 +18,18 @@ from monthgrain.llm import (
     licenses,
     lines,
     mixing,
+    pages,
     quality,
+    resampling,
     toxicity,
 )
 from monthgrain.llm.labelled import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: Where the public vocabularies are.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-VOCABULARY = f"{TOKENIZERS}/word_bpe_49k.json"
+#: The public vocabularies, at the same place on all machines.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +128,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages_table = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(pages_table)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.link_counts(docs, BYTE_LEVEL, PIECES)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resampling.resample(docs, target).drop("n_words")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -137,6 +157,9 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_chat_windows,
         op10_bpe,
+        op11_pages,
+        op12_alignment,
+        op13_resampling,
     )
 }
 
