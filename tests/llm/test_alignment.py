@@ -34,19 +34,6 @@ def brute(texts):
     a = Tokenizer.from_file(BYTE_LEVEL)
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    from tokenizers.pre_tokenizers import ByteLevel
-
-    byte = {ByteLevel(add_prefix_space=False).pre_tokenize_str(chr(c))[0][0]: c for c in range(128)}
-    for c in range(128, 0x800):  # leading and following bytes of two-byte characters
-        for mark, value in zip(
-            ByteLevel(add_prefix_space=False).pre_tokenize_str(chr(c))[0][0], chr(c).encode()
-        ):
-            byte[mark] = value
-    for text in ("ࠀ", "￿", "\U00010000", "\U000fffff", "日本", "\U0001f600", "　"):
-        for mark, value in zip(
-            ByteLevel(add_prefix_space=False).pre_tokenize_str(text)[0][0], text.encode()
-        ):
-            byte[mark] = value
     rows = []
     for text in texts:
         empty = (0, 0, 0, "", Counter())
@@ -54,7 +41,11 @@ def brute(texts):
             rows.append(empty)
             continue
         ids_a = a.encode(" " + text, add_special_tokens=False).ids
-        bytes_a = [bytes(byte[c] for c in a.id_to_token(i)) for i in ids_a]
+        # a character of a byte-level token is a byte of the text
+        bytes_a, at = [], 0
+        for i in ids_a:
+            bytes_a.append((" " + text).encode()[at : at + len(a.id_to_token(i))])
+            at += len(a.id_to_token(i))
         ids_b = b.encode(text)
         bytes_b = [
             bytes([int(b.id_to_piece(i)[1:-1], 16)])
