@@ -19,6 +19,9 @@ are and are put side by side behind it, which saves the wide partial rows, or th
 the two shuffles. Without that knowledge one id might hold a large part of all rows, so
 the default folds first.
 
+Where the table is stored in buckets of the customer (``bucketed=True``), each month is a scan
+of its own columns, and the months are joined where they lie: nothing moves.
+
 The key of the result is (customer, month). Rows that break it, i.e. two rows of one customer
 in one month where rows are not to be added up, or a customer id that is null, stop the run
 with an error, in either mode. They are neither dropped nor multiplied.
@@ -60,6 +63,7 @@ def attach_history(
     *,
     sums: Mapping[str, str] | None = None,
     unique: bool = False,
+    bucketed: bool = False,
     key: str = KEY,
     since: str | None = None,
     until: str | None = None,
@@ -72,14 +76,16 @@ def attach_history(
     ``sums`` maps names to row expressions that are added up per customer and month; it is
     for inputs with several rows per customer and month. All names in ``lags`` must be among
     them. Without it, names are columns of ``df`` and the key must be unique; ``unique`` says
-    that this has been checked.
+    that this has been checked, ``bucketed`` that the table lies in buckets of the key.
     """
     if 0 not in lags:
         raise ValueError("lag 0, the anchor month itself, must be listed")
-    if unique and sums is not None:
+    if (unique or bucketed) and sums is not None:
         raise ValueError("rows to be added up are not unique")
+    if bucketed and snapshot is not None:
+        return _joined_months(df, lags, key, snapshot)
     if snapshot is None:
-        return _every_anchor(df, lags, sums, unique, key, since, until)
+        return _every_anchor(df, lags, sums, unique or bucketed, key, since, until)
     return _one_anchor(df, lags, sums, unique, key, snapshot)
 
 
@@ -143,6 +149,24 @@ def _one_anchor(
     )
 
 
+def _joined_months(df: DataFrame, lags: Lags, key: str, snapshot: str) -> DataFrame:
+    """A scan per month, folded by customer and joined to the anchor month's."""
+    months = months_back(snapshot, max(lags) + 1)
+    wide = None
+    for lag, listed in sorted(lags.items()):
+        rows = df.where(F.col(MONTH) == months[lag])
+        folded = rows.groupBy(ref(key)).agg(
+            *[F.expr(named(f"max({ref(n)})", lag_name(n, lag))) for n in listed],
+            F.expr(f"max({MONTH}) AS {MONTH}"),
+            F.expr(f"count(*) AS {_ROWS}"),
+        )
+        month = folded.where(_checked(key, f"{_ROWS} > 1")).drop(_ROWS)
+        wide = month if wide is None else wide.join(month.drop(MONTH), key, "left")
+    return wide.selectExpr(
+        ref(key), MONTH, *[ref(lag_name(n, i)) for i, listed in lags.items() for n in listed]
+    )
+
+
 def _every_anchor(
     df: DataFrame,
     lags: Lags,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from monthgrain.functions.text import ref
 
@@ -24,3 +25,16 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     some_null = " OR ".join(f"{ref(k)} IS NULL" for k in keys)
     counted = df.selectExpr(*[ref(k) for k in keys]).groupBy(*keys).count()
     return counted.where(f"count > 1 OR {some_null}")
+
+
+def broken_keys(df: DataFrame, keys: Sequence[str], month: str) -> DataFrame:
+    """Each month of ``df``, and one of its keys that is null or repeated, or null.
+
+    One pass: rows are counted by key before they move, then by month.
+    """
+    some_null = " OR ".join(f"{ref(k)} IS NULL" for k in keys)
+    parts = ", ".join(ref(k) for k in keys)
+    counted = df.selectExpr(*[ref(k) for k in keys]).groupBy(*keys).count()
+    return counted.groupBy(month).agg(
+        F.expr(f"min(CASE WHEN count > 1 OR {some_null} THEN struct({parts}, count) END) AS broken")
+    )

@@ -21,6 +21,7 @@ DERIVED = ("delta_days", "mxdt_range", "mndt_range", "delta_max_min_bal")
 OLDER = ("avg", "mx", "mn", "eom")
 WINDOWED = ("avg", "mx", "mn")
 EXTREME_DATES = ("mxdt", "mndt")
+WINDOW_LAGS = {0: (*BALANCES, *DERIVED)} | {lag: WINDOWED for lag in range(1, 6)}
 
 # Parts of column names that do, and do not, take a loan deduction.
 LOAN_TARGETS = ("avg", "mx", "mn", "eom", "max_bal", "avg_bal")
@@ -77,13 +78,17 @@ def balance_window(
     since: str | None = None,
     until: str | None = None,
     unique: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Balances of the anchor month, their 3- and 6-month range and mean, and momentum.
 
     ``snapshot=None`` gives every month at once, by one shuffle chain for the whole backfill.
     """
-    lags = {0: (*BALANCES, *DERIVED)} | {lag: WINDOWED for lag in range(1, 6)}
-    wide = _history(df, lags, snapshot, since=since, until=until, unique=unique)
+    options = {"since": since, "until": until, "unique": unique, "bucketed": bucketed}
+    return _window_features(_history(df, WINDOW_LAGS, snapshot, **options))
+
+
+def _window_features(wide: DataFrame) -> DataFrame:
     out = [named(c, c.removesuffix("_lag0")) for c in wide.columns if c.endswith("_lag0")]
     for span in SPANS:
         out += [

@@ -345,10 +345,12 @@ def register_feature_table(
 ) -> str:
     """Merge a stored table, or some months of it, into a feature table by the given keys.
 
-    Returns the feature table's full name. With a ``database``, it is also listed there with
-    its description.
+    The month is always one of the keys: without it a new month would replace the rows of the
+    one before. Returns the feature table's full name. With a ``database``, the table is listed
+    there, or what is listed is brought up to date: new columns, description and keys.
     """
+    keys = (*keys, *([] if MONTH in keys else [MONTH]))
     warehouse.upsert(FEATURES, feature_name, warehouse.read(layer, table, months), keys, keep=False)
     if database is None:
         return warehouse.path(FEATURES, feature_name)
-    return warehouse.register(FEATURES, feature_name, database, feature_name, description)
+    return warehouse.register(FEATURES, feature_name, database, feature_name, description, keys)
