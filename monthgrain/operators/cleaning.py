@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthgrain.functions.dates import ISO_DATE, parse_date
@@ -116,14 +117,49 @@ def harden_types(
     Columns of ``keep``, and those ids and flags that are text everywhere, stay as they are.
     """
 
-    def hardened(name: str) -> str:
-        if name in dates:
-            return named(parse_date(ref(name), date_formats), name)
-        if name in keep or _stays_text(name):
-            return ref(name)
-        return named(f"try_cast({ref(name)} AS double)", name)
+    cast = _casts(df.columns, keep, dates, date_formats)
+    return df.selectExpr(*[named(cast[c], c) if c in cast else ref(c) for c in df.columns])
 
-    return df.selectExpr(*[hardened(c) for c in df.columns])
+
+def _casts(
+    names: Sequence[str],
+    keep: Collection[str],
+    dates: Collection[str],
+    date_formats: Sequence[str],
+) -> dict[str, str]:
+    """How each column that does not stay text is read."""
+    read = {c: parse_date(ref(c), date_formats) for c in names if c in dates}
+    for c in names:
+        if c not in read and c not in keep and not _stays_text(c):
+            read[c] = f"try_cast({ref(c)} AS double)"
+    return read
+
+
+def observe_losses(
+    df: DataFrame,
+    observation: Observation,
+    keep: Collection[str] = (),
+    dates: Collection[str] = (),
+    date_formats: Sequence[str] = (ISO_DATE,),
+    required: Collection[str] = (),
+) -> DataFrame:
+    """``df``, counting on the way what ``harden_types`` will lose.
+
+    The observation has, for each column to be read as a number or date, how many texts that
+    are not empty do not parse, and as ``<name> is null`` how often a required column is null.
+    Nothing is read a second time: the job that writes the result counts.
+    """
+    cast = _casts(df.columns, keep, dates, date_formats)
+    lost = [
+        F.expr(named(f"count_if(nullif(trim({ref(c)}), '') IS NOT NULL AND {read} IS NULL)", c))
+        for c, read in cast.items()
+    ]
+    nulls = [
+        F.expr(named(f"count_if({ref(c)} IS NULL)", f"{c} is null"))
+        for c in required
+        if c in df.columns
+    ]
+    return df.observe(observation, F.count(F.lit(1)).alias("all rows"), *lost, *nulls)
 
 
 def fill_numbers(df: DataFrame, value: float = 0) -> DataFrame:
@@ -141,10 +177,17 @@ def clean_bank_table(
     keep: Collection[str] = (),
     dates: Collection[str] = (),
     date_formats: Sequence[str] = (ISO_DATE,),
+    required: Collection[str] = (),
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Names, texts, customer id and types of a bank table."""
-    named = add_customer_id(tidy_strings(sanitize_columns(df)))
-    return harden_types(named, keep, dates, date_formats)
+    """Names, texts, customer id and types of a bank table.
+
+    An ``observation`` counts what is lost, see ``observe_losses``.
+    """
+    tidied = add_customer_id(tidy_strings(sanitize_columns(df)))
+    if observation is not None:
+        tidied = observe_losses(tidied, observation, keep, dates, date_formats, required)
+    return harden_types(tidied, keep, dates, date_formats)
 
 
 def clean_call_table(df: DataFrame, tidy: bool = False) -> DataFrame:

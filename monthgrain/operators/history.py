@@ -94,7 +94,7 @@ def _values(lags: Lags, sums: Mapping[str, str] | None) -> dict[str, str]:
     return {n: ref(n) if sums is None else sums[n] for n in names}
 
 
-def _checked(key: str, duplicated: str) -> str:
+def checked_key(key: str, duplicated: str) -> str:
     """True, or an error for a row whose key is null or not unique."""
     no_key = text(f"{key} is null in month ")
     not_unique = text(f"more than one row in a month for {key} ")
@@ -143,7 +143,7 @@ def _one_anchor(
     duplicated = f"{_ROWS} <> bit_count({_SEEN})" if sums is None else "false"
     wide = folded.withColumn(MONTH, F.lit(snapshot))
     return wide.where(
-        f"CASE WHEN {_SEEN} & 1 = 1 THEN {_checked(key, duplicated)} ELSE false END"
+        f"CASE WHEN {_SEEN} & 1 = 1 THEN {checked_key(key, duplicated)} ELSE false END"
     ).selectExpr(
         ref(key), MONTH, *[ref(lag_name(n, i)) for i, listed in lags.items() for n in listed]
     )
@@ -160,7 +160,7 @@ def _joined_months(df: DataFrame, lags: Lags, key: str, snapshot: str) -> DataFr
             F.expr(f"max({MONTH}) AS {MONTH}"),
             F.expr(f"count(*) AS {_ROWS}"),
         )
-        month = folded.where(_checked(key, f"{_ROWS} > 1")).drop(_ROWS)
+        month = folded.where(checked_key(key, f"{_ROWS} > 1")).drop(_ROWS)
         wide = month if wide is None else wide.join(month.drop(MONTH), key, "left")
     return wide.selectExpr(
         ref(key), MONTH, *[ref(lag_name(n, i)) for i, listed in lags.items() for n in listed]
@@ -193,7 +193,7 @@ def _every_anchor(
                 *[F.expr(named(f"{fold}({v})", n)) for n, v in values.items()],
                 F.expr(f"count(*) AS {_ROWS}"),
             )
-            .where(_checked(key, duplicated))
+            .where(checked_key(key, duplicated))
             .selectExpr("*", number)
         )
     by_customer = f"PARTITION BY {ref(key)} ORDER BY {_INDEX}"
@@ -210,6 +210,6 @@ def _every_anchor(
     )
     if unique:
         # Of two rows in one month, one follows the other.
-        out = out.where(_checked(key, f"{_BEFORE} <=> {_INDEX}")).drop(_BEFORE, _INDEX)
+        out = out.where(checked_key(key, f"{_BEFORE} <=> {_INDEX}")).drop(_BEFORE, _INDEX)
     # The filter runs after the window, so the first anchors still see their history.
     return out.where(F.col(MONTH) >= since) if since is not None else out

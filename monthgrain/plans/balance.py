@@ -11,7 +11,9 @@ from monthgrain.functions.rowwise import ratio_or_null, row_max, row_mean, row_m
 from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
 from monthgrain.operators.cleaning import as_dates, fill_numbers
+from monthgrain.operators.contract import require, resolve
 from monthgrain.operators.history import KEY, Lags, attach_history, lag_name
+from monthgrain.operators.rolling import advance, anchored, state_of
 from monthgrain.operators.snapshots import scan_snapshot
 from monthgrain.operators.stats import SPANS, lag_refs
 
@@ -29,8 +31,16 @@ LOAN_EXEMPT = ("ratio", "cifno", "weekday", "range", "date", "snapshot")
 DAILY_BALANCES = ("avgd", "mnd", "eomd")
 
 
+# Columns that a month's summary may lack.
+CONTRACT = {c: "double" for c in BALANCES} | {c: "date" for c in EXTREME_DATES}
+
+
 def clean_balances(df: DataFrame) -> DataFrame:
-    """Check the dates of the highest and lowest balance and describe them."""
+    """Check the dates of the highest and lowest balance and describe them.
+
+    Balances and dates that the summary lacks are null, and so is what is made of them.
+    """
+    df = resolve(require(df, KEY, MONTH), CONTRACT)
     checked = as_dates(df, EXTREME_DATES).selectExpr(
         *[ref(c) for c in df.columns if c not in EXTREME_DATES],
         *[named(inside_month(c, MONTH), c) for c in EXTREME_DATES],
@@ -50,8 +60,15 @@ def _history(df: DataFrame, lags: Lags, snapshot: str | None, **options) -> Data
     Weekday names are made after the months are put together: fixed-width columns keep the
     aggregation a hash aggregation.
     """
-    lags = {**lags, 0: (*lags[0], *EXTREME_DATES)}
-    wide = attach_history(clean_balances(df), lags, snapshot, **options)
+    wide = attach_history(clean_balances(df), _with_dates(lags), snapshot, **options)
+    return _with_weekdays(wide)
+
+
+def _with_dates(lags: Lags) -> Lags:
+    return {**lags, 0: (*lags[0], *EXTREME_DATES)}
+
+
+def _with_weekdays(wide: DataFrame) -> DataFrame:
     dates = {c: lag_name(c, 0) for c in EXTREME_DATES}
     return wide.selectExpr(
         *[c for c in wide.columns if c not in dates.values()],
@@ -88,6 +105,24 @@ def balance_window(
     return _window_features(_history(df, WINDOW_LAGS, snapshot, **options))
 
 
+def window_state(
+    df: DataFrame, snapshot: str, state: DataFrame | None = None, state_month: str | None = None
+) -> DataFrame:
+    """What the balance window keeps of six months, advanced from an earlier month's state.
+
+    Without a state it is made from the six months themselves.
+    """
+    rows, lags = clean_balances(df), _with_dates(WINDOW_LAGS)
+    if state is None or state_month is None:
+        return state_of(rows, lags, snapshot)
+    return advance(state, state_month, rows, lags, snapshot)
+
+
+def window_from_state(state: DataFrame) -> DataFrame:
+    """The balance window of the month that a state is of."""
+    return _window_features(_with_weekdays(anchored(state, _with_dates(WINDOW_LAGS))))
+
+
 def _window_features(wide: DataFrame) -> DataFrame:
     out = [named(c, c.removesuffix("_lag0")) for c in wide.columns if c.endswith("_lag0")]
     for span in SPANS:
@@ -139,5 +174,6 @@ def balance_loan(
 def balance_deduct(df: DataFrame, loans: DataFrame, snapshot: str | None = None) -> DataFrame:
     """Daily-level balances of the anchor month and the same less the loan estimate."""
     rows = df if snapshot is None else scan_snapshot(df, snapshot)
+    rows = resolve(require(rows, KEY, MONTH), dict.fromkeys(DAILY_BALANCES, "double"))
     levels = rows.select(KEY, MONTH, *DAILY_BALANCES)
     return _less_loan(_with_loans(levels, loans), DAILY_BALANCES)

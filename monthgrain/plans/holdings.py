@@ -12,7 +12,9 @@ from monthgrain.functions.rowwise import capped, clipped, ratio_or_null, row_max
 from monthgrain.functions.text import named, ref
 from monthgrain.months import MONTH
 from monthgrain.operators.cleaning import as_dates
+from monthgrain.operators.contract import resolve
 from monthgrain.operators.history import KEY, attach_history, lag_name
+from monthgrain.operators.median import exact_percentile
 from monthgrain.operators.snapshots import scan_snapshot
 from monthgrain.sources.manifest import OPEN_DATES
 
@@ -53,11 +55,12 @@ def product_counts(
     """Capped product counters and totals of customers with more than product 12.
 
     Customers whose product total equals counter 12, or either is missing, are left out,
-    where the table has both columns.
+    where the table has both columns. Counters that the table lacks count as missing ones.
     """
     rows = _at(df, snapshot).withColumnsRenamed({"loanmort_s": "loanmort", "loanall_s": "loanall"})
     if "totph" in rows.columns and "t12" in rows.columns:
         rows = rows.where("totph <> t12")
+    rows = resolve(rows, {f"t{i}": "double" for i in PRODUCTS} | {"totph": "double"})
     cut = {c: capped(c, PRODUCT_CAP, 0) for c in _counters(rows, PRODUCTS)}
     cut["totph"] = capped("totph", TOTAL_CAP, TOTAL_CAP)
     rows = rows.selectExpr(*[named(cut[c], c) if c in cut else ref(c) for c in rows.columns])
@@ -99,8 +102,12 @@ def product_vintages(
 def bank_ph(
     df: DataFrame, snapshot: str | None = None, formats: Sequence[str] = (ISO_DATE,)
 ) -> DataFrame:
-    """Product holding features: capped counters, totals and account ages."""
-    return product_vintages(product_counts(df, snapshot), None, formats)
+    """Product holding features: capped counters, totals and account ages.
+
+    Dates that the table lacks are null, so all four ages are there in any case.
+    """
+    counts = resolve(product_counts(df, snapshot), dict.fromkeys(OPEN_DATES, "date"))
+    return product_vintages(counts, None, formats)
 
 
 def loan_diff(
@@ -150,16 +157,14 @@ def axa_avr(df: DataFrame, snapshot: str, accuracy: int | None = 10_000) -> Data
 
     Missing account numbers are filled with the month's lower median, a scalar subquery over
     a mergeable sketch with rank error 1/``accuracy``. ``accuracy=None`` takes the exact
-    median, whose state grows with the number of distinct values (not of rows): right for
-    account counts, not for amounts.
+    median: passes over counts by value, which run when this is called.
     """
     rows = scan_snapshot(df, snapshot).withColumnRenamed("nb_accts", "nb_accts_sd")
     accounts = F.col("nb_accts_sd")
     if accuracy is None:
-        median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY nb_accts_sd)")
+        typical = F.lit(exact_percentile(rows, "nb_accts_sd")).cast("double")
     else:
-        median = F.percentile_approx(accounts, 0.5, accuracy)
-    typical = rows.agg(median).scalar()
+        typical = rows.agg(F.percentile_approx(accounts, 0.5, accuracy)).scalar()
     totals = rows.groupBy(KEY, MONTH).agg(
         F.expr("sum(coalesce(sum_end_bal, 0D)) AS sum_end_bal"),
         F.sum(F.coalesce(accounts, typical)).alias("nb_accts_sd"),

@@ -13,14 +13,14 @@ from monthgrain.months import MONTH
 from monthgrain.operators.history import KEY
 from monthgrain.sources import catalog
 from monthgrain.sources.files import file_system, folders
-from monthgrain.sources.warehouse import CLEAN, Warehouse, merged_schema
+from monthgrain.sources.warehouse import CLEAN, STATE, Warehouse, merged_schema
 
 
 class CatalogWarehouse(Warehouse):
     """Layers as databases ``<prefix>_<layer>``, with the data under one root folder.
 
     A month is replaced by switching its partition in the catalog, see ``catalog``. With
-    ``buckets``, clean tables that have a customer id are dealt into that many buckets of it
+    ``buckets``, clean tables and states that have a customer id are dealt into that many buckets of it
     and sorted, at the price of one shuffle when they are written: the join of a customer's
     months, and everything grouped by customer, then needs none. What is switched stays as
     long as the catalog lasts, so a run over several sessions needs a catalog that does.
@@ -85,7 +85,7 @@ class CatalogWarehouse(Warehouse):
         name = self.name(layer, table)
         known = self.schema(layer, table)
         merged = merged_schema(known, df.schema, by, name)
-        key = KEY if layer == CLEAN and KEY in merged.names else None
+        key = KEY if layer in (CLEAN, STATE) and KEY in merged.names else None
         buckets = self.buckets if key and tuple(by) == (MONTH,) else 0
         if known is None:
             database = self.database(layer)

@@ -13,7 +13,8 @@ class Source:
     """One monthly file.
 
     ``keep`` names columns that stay text when cleaned, ``dates`` those read as dates.
-    ``unique`` says that a customer has one row a month, which cleaning checks.
+    ``required`` are columns whose nulls are counted when cleaned. ``unique`` says that a
+    customer has one row a month, which cleaning checks.
     """
 
     name: str
@@ -22,6 +23,7 @@ class Source:
     sep: str = "|"
     keep: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
     unique: bool = False
 
     def file_name(self, snapshot: str) -> str:
@@ -74,6 +76,7 @@ SOURCES = (
     Source(
         "trx_outflow_payment_purchase",
         keep=("customer_no", "transaction_type", *_ACCOUNT_IDS),
+        required=("transaction_type",),
     ),
     Source("all_status", CALLS, "ALL_STATUS", ","),
     Source("tso", CALLS, "TSO", "\t"),

@@ -17,6 +17,8 @@ from monthgrain.sources.catalog import create_table, describe_table, evolve_tabl
 from monthgrain.sources.files import folders, path_exists, read_text, write_text
 
 RAW, CLEAN, FEATURES, AUDIT = "raw", "clean", "features", "audit"
+#: The history of feature sets, kept between months.
+STATE = "state"
 
 #: File with the columns of a table; Spark passes over names that begin like this.
 LEDGER = "_columns.json"

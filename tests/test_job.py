@@ -11,6 +11,7 @@ from tests.conftest import rows
 
 FOLDER = "/root/testdata/sf0.001"
 MONTH = "200106"
+TYPES = rel.PURCHASE_TYPES
 
 BANK_FILES = {
     "cifsumm": rel.fx_cifsumm,
@@ -54,7 +55,7 @@ def ran(spark, tmp_path_factory):
     for month in months[:-1]:
         job.run_ingest(warehouse, f"{root}/landing", month)
         job.run_cleaning(warehouse, month)
-    report = job.run_month(warehouse, f"{root}/landing", MONTH).cache()
+    report = job.run_month(warehouse, f"{root}/landing", MONTH, purchase_types=TYPES).cache()
     return warehouse, tables, report, f"{root}/landing"
 
 
@@ -113,6 +114,37 @@ def test_labels_of_the_month(ran):
     assert best.count() == every.select("cifno").distinct().count() > 0
 
 
+def test_purchases_need_their_types(ran):
+    """Without them the table would silently have no column of a type."""
+    warehouse, _, _, landing = ran
+    for run in (
+        lambda: job.run_month(warehouse, landing, MONTH),
+        lambda: job.run_features(warehouse, MONTH),
+        lambda: job.run_features(warehouse, MONTH, ["trx_outflow_purchase"]),
+    ):
+        with pytest.raises(ValueError, match="needs purchase_types"):
+            run()
+    stored = warehouse.read(FEATURES, "trx_outflow_purchase_features", [MONTH])
+    assert {f"{t}_freq" for t in TYPES} <= set(stored.columns)
+
+
+def test_losses_are_reported(spark, tmp_path):
+    """Texts that do not parse and missing types, counted by the job that writes the month."""
+    folder = tmp_path / "landing" / "202401"
+    folder.mkdir(parents=True)
+    (folder / "trx_outflow_payment_purchase_202401.txt").write_text(
+        "customer_no|transaction_type|frek|nominal\n1||1|n/a\n2|A|x|\n3|(null)|2| \n4|B|3|-\n"
+    )
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    sources = [s for s in SOURCES if s.name == "trx_outflow_payment_purchase"]
+    job.run_ingest(warehouse, str(tmp_path / "landing"), "202401", sources)
+    report = job.run_cleaning(warehouse, "202401")
+    want = {"nominal": 2, "frek": 1, "transaction_type is null": 2}
+    assert report.first().losses == want
+    stored = warehouse.read(AUDIT, job.REPORT).where("stage = 'clean'").first()
+    assert stored.losses == want and stored.rows == 4
+
+
 def test_one_bad_file_does_not_stop_the_others(spark, tmp_path):
     folder = tmp_path / "landing" / "202401"
     folder.mkdir(parents=True)
@@ -148,7 +180,9 @@ def test_nothing_is_built_on_an_earlier_delivery(spark, tmp_path):
 
     def run(text):
         file.write_text("cifno|loanall_s|snapshot\n" + text)
-        report = job.run_month(warehouse, str(tmp_path / "landing"), "202401", sources)
+        report = job.run_month(
+            warehouse, str(tmp_path / "landing"), "202401", sources, purchase_types=["a"]
+        )
         return {r.stage: r.status for r in report.where("source IN ('phsumm', 'loan_diff')").collect()}
 
     good, repeated, empty = "1|2|x\n", "1|2|x\n1|3|x\n", ""
