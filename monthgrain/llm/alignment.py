@@ -6,6 +6,10 @@ that overlap, with the number of bytes they share: the overlap links. Bytes afte
 both sides end cut the text into groups; the product of the tokens' group incidence gives the
 links of tokens that share a group. Matrices are compressed rows, products go row by row.
 
+Between words both tokenizers begin anew, so a word's tokens, groups and links are the same
+wherever it stands. Tasks keep those of the words they have seen: a document's id pairs are then
+the product of its word counts with the words' pairs.
+
 For corpus-wide counts of linked ids, documents are dealt into blocks of bounded size. A block
 keeps a dictionary of its id pairs with the number of its documents that hold each; only
 dictionaries are summed, and only the sums a block asked for come back to it.
@@ -20,6 +24,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,11 @@ from monthgrain.llm.words import by_size
 BLOCK, PIECE = 1 << 24, 1 << 19
 #: Longer texts are encoded in parts of this many characters.
 _PART = 1 << 16
-#: Between letters or digits a space begins a token on both sides, so texts can be cut there.
-_CUT = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+#: A single space between other characters begins a token on both sides, so texts can be cut
+#: there. Only characters that no table of characters takes for white space count.
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+#: Words, and characters of them, that a task remembers.
+REMEMBERED, REMEMBERED_CHARACTERS = 300_000, 1 << 22
 
 
 # Sparse matrices -----------------------------------------------------------------------------
@@ -117,28 +125,52 @@ class Side:
 
 
 class ByteLevel(Side):
-    """A byte-level vocabulary file of the tokenizers library."""
+    """A byte-level vocabulary file of the tokenizers library.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    Where the file's merges are in the order of their ids, as byte-level ones mostly are, ids
+    are ranks and tiktoken, which is several times faster, gives the same ids (the tests hold
+    them against each other for every character). Other files go through tokenizers itself.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            added = {t["id"]: t["content"] for t in json.load(file).get("added_tokens", [])}
+            content = json.load(file)
+        added = {t["id"]: t["content"] for t in content.get("added_tokens", [])}
+        vocabulary = content["model"]["vocab"] | {t: k for k, t in added.items()}
         byte = _byte_of_character()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         own = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
             own[k] = added[k].encode() if k in added else bytes(byte[c] for c in token)
         super().__init__(own)
+        merges = (m.split(" ") if isinstance(m, str) else m for m in content["model"]["merges"])
+        ranked = all(vocabulary["".join(m)] == 256 + k for k, m in enumerate(merges))
+        self.encode = _by_ranks(own, added) if ranked else _by_tokenizers(path)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
-        spaced = [" " + t for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch(spaced, add_special_tokens=False)]
+        return self.encode([" " + t for t in texts])
+
+
+def _by_ranks(token_bytes: list[bytes], added: dict[int, str]):
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {b: k for k, b in enumerate(token_bytes) if k not in added}
+    pattern = public_tokenizers.PATTERN
+    encoding = tiktoken.Encoding(
+        "own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+    )
+    return lambda texts: list(map(encoding.encode_ordinary, texts))
+
+
+def _by_tokenizers(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 class Pieces(Side):
@@ -155,6 +187,8 @@ class Pieces(Side):
                 own.append(bytes([int(piece[1:-1], 16)]))
             else:
                 own.append(piece.replace("▁", " ").encode())
+            if "▁" in piece.lstrip("▁"):
+                raise ValueError(f"{path}: the piece {piece} goes on over a space")
         super().__init__(own)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -179,6 +213,9 @@ def _parts(text: str) -> list[str]:
     return [*found, text[at:]]
 
 
+_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+
+
 @dataclass
 class Aligned:
     """The alignment of some texts; tokens, groups and links of one follow those of another.
@@ -207,6 +244,26 @@ class Aligned:
         return both.row_of_entries(), both.cols
 
 
+def _tokens(
+    tokenizer: Side, parts: list[str], raw: list[bytes]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all parts, how many each part has, and whether its tokens give back its bytes."""
+    ids = tokenizer.ids(parts) if parts else []
+    of_part = np.fromiter(map(len, ids), np.int64, len(ids))
+    own = np.fromiter(chain.from_iterable(ids), np.int64, int(of_part.sum()))
+    pieces = list(map(tokenizer.token_bytes.__getitem__, own.tolist()))
+    sums = np.concatenate(([0], np.cumsum(tokenizer.lengths[own])))
+    ends = np.cumsum(of_part)
+    same = sums[ends] - sums[ends - of_part] == np.fromiter(map(len, raw), np.int64, len(raw))
+    if not same.all() or b"".join(pieces) != b"".join(raw):
+        starts = (ends - of_part).tolist()
+        same = np.array(
+            [b"".join(pieces[s:e]) == r for s, e, r in zip(starts, ends.tolist(), raw, strict=True)],
+            bool,
+        )
+    return own, of_part, same
+
+
 def align_texts(texts: list[str | None], a: Side, b: Side) -> Aligned:
     """Tokens, groups and overlap links of texts.
 
@@ -214,34 +271,26 @@ def align_texts(texts: list[str | None], a: Side, b: Side) -> Aligned:
     space before them, have none.
     """
     parts = [_parts(t) if t else [] for t in texts]
-    flat = [p for own in parts for p in own]
-    ids = [tokenizer.ids(flat) if flat else [] for tokenizer in (a, b)]
-    kept: list[list[list[int]]] = [[], []]  # by part
-    sizes: list[bytes] = []
-    ends: list[list[int]] = [[], []]
-    at, n = 0, [0, 0]
-    for own in parts:
-        whole = [(" " + p).encode() for p in own]
-        sides = [side_ids[at : at + len(own)] for side_ids in ids]
-        at += len(own)
-        if all(
-            b"".join(map(tokenizer.token_bytes.__getitem__, s)) == w
-            for tokenizer, own_ids in zip((a, b), sides, strict=True)
-            for w, s in zip(whole, own_ids, strict=True)
-        ):
-            sizes += whole
-            for k in range(2):
-                kept[k] += sides[k]
-                n[k] += sum(map(len, sides[k]))
-        for k in range(2):
-            ends[k].append(n[k])
-    a_ids, b_ids = (np.array([i for s in k for i in s], np.int64) for k in kept)
+    flat = list(chain.from_iterable(parts))
+    part_text = np.repeat(np.arange(len(texts)), list(map(len, parts)))
+    raw = [(" " + p).encode() for p in flat]
+    sides = [_tokens(tokenizer, flat, raw) for tokenizer in (a, b)]
+    broken = np.bincount(part_text[~(sides[0][2] & sides[1][2])], minlength=len(texts)) > 0
+    kept = ~broken[part_text]
+    ids, starts, ends = [], [], []
+    for own, of_part, _ in sides:
+        n = np.where(kept, of_part, 0)
+        ids.append(own[np.repeat(kept, of_part)])
+        starts.append(np.concatenate(([0], np.cumsum(n))))
+        ends.append(np.cumsum(np.bincount(part_text, weights=n, minlength=len(texts))).astype(np.int64))
+    (a_ids, b_ids), (a_ends, b_ends) = ids, ends
     found: list[list[np.ndarray]] = [[] for _ in range(5)]
-    at_a = at_b = n_groups = 0
-    for piece in by_size(sizes, PIECE):  # parts begin and end with groups, so they go alone
+    n_groups = 0
+    for piece in by_size(raw, PIECE):  # parts begin and end with groups, so they go alone
+        at_a, at_b = (int(s[piece.start]) for s in starts)
         of_a, of_b = (
-            Rows.spans(tokenizer.lengths[[i for s in k[piece] for i in s]])
-            for tokenizer, k in zip((a, b), kept, strict=True)
+            Rows.spans(tokenizer.lengths[i[s[piece.start] : s[piece.stop]]])
+            for tokenizer, i, s in zip((a, b), ids, starts, strict=True)
         )
         links = of_a.times(of_b.transposed())
         cuts = np.intersect1d(of_a.ptr[1:], of_b.ptr[1:], assume_unique=True)
@@ -249,7 +298,6 @@ def align_texts(texts: list[str | None], a: Side, b: Side) -> Aligned:
         own = *groups, links.row_of_entries() + at_a, links.cols + at_b, links.values
         for made, values in zip(found, own, strict=True):
             made.append(values)
-        at_a, at_b = at_a + len(groups[0]), at_b + len(groups[1])
         n_groups += len(cuts)
     a_group, b_group, link_a, link_b, link_bytes = (
         np.concatenate(v) if v else np.empty(0, np.int64) for v in found
@@ -270,8 +318,8 @@ def _id_texts(n_a: int, n_b: int) -> list[str]:
     return [f"{i}{mark}" for n, end in sides for i in range(n) for mark in (",", end)]
 
 
-def group_digests(found: Aligned, n_a: int, n_b: int) -> list[str]:
-    """sha256 of each text's groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
+def group_texts(found: Aligned, n_a: int, n_b: int) -> list[str]:
+    """Each text's groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
     group = np.concatenate((found.a_group, found.b_group))
     is_b = np.repeat([0, 1], [len(found.a), len(found.b)])
     order = np.argsort(group * 2 + is_b, kind="stable")
@@ -279,12 +327,48 @@ def group_digests(found: Aligned, n_a: int, n_b: int) -> list[str]:
     last = np.append(key[1:] != key[:-1], True) if len(key) else np.empty(0, bool)
     place = np.concatenate((found.a, found.b + n_a))[order] * 2 + last
     words = _id_texts(n_a, n_b)
-    digests, start = [], 0
+    texts, start = [], 0
     for end in (found.a_ends + found.b_ends).tolist():
-        text = "".join(map(words.__getitem__, place[start:end].tolist()))
-        digests.append(hashlib.sha256(text[:-1].encode()).hexdigest() if text else "")
+        texts.append("".join(map(words.__getitem__, place[start:end].tolist()))[:-1])
         start = end
-    return digests
+    return texts
+
+
+class Words:
+    """Counts, groups and id pairs of the words a task has seen."""
+
+    def __init__(self, a: Side, b: Side):
+        self.a, self.b = a, b
+        self.n_a, self.n_b = len(a.token_bytes), len(b.token_bytes)
+        self.place: dict[str, int] = {}
+        self.size = 0
+        self.groups: list[str] = []
+        self.counts = np.empty((len(_COUNTS), 0), np.int64)
+        self.pairs = Rows(np.zeros(1, np.int64), *[np.empty(0, np.int64)] * 2, self.n_a * self.n_b)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """The place of each word here; new ones are aligned."""
+        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def _learn(self, new: list[str]) -> None:
+        found = align_texts(new, self.a, self.b)
+        self.place |= {w: len(self.groups) + k for k, w in enumerate(new)}
+        self.size += sum(map(len, new))
+        self.groups += group_texts(found, self.n_a, self.n_b)
+        ends = found.a_ends, found.b_ends, found.group_ends, found.link_ends
+        counts = np.stack([np.diff(e, prepend=0) for e in ends])
+        self.counts = np.concatenate((self.counts, counts), axis=1)
+        codes = found.a[found.link_a] * self.n_b + found.b[found.link_b]
+        ptr = np.concatenate((self.pairs.ptr, self.pairs.ptr[-1] + found.link_ends))
+        cols = np.concatenate((self.pairs.cols, codes))
+        self.pairs = Rows(ptr, cols, np.ones(len(cols), np.int64), self.pairs.width)
+
+    @property
+    def is_full(self) -> bool:
+        return len(self.place) > REMEMBERED or self.size > REMEMBERED_CHARACTERS
 
 
 # Tables --------------------------------------------------------------------------------------
@@ -339,37 +423,45 @@ def align(
     return given.mapInArrow(run, kinds)
 
 
-_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _LISTS = {"_pairs": pa.int32(), "_times": pa.int32(), "_code": pa.int64(), "_held": pa.int64()}
 
 
 class _Block:
     """Documents of a block, and the id pairs they hold."""
 
-    def __init__(self, a: Side, b: Side):
-        self.a, self.b = a, b
-        self.n_a, self.n_b = len(a.token_bytes), len(b.token_bytes)
+    def __init__(self):
         self.size = 0
         self.rows: list[pa.RecordBatch] = []
-        self.counts: list[list[np.ndarray]] = [[] for _ in _COUNTS]
+        self.counts: list[np.ndarray] = []
         self.digests: list[str] = []
         self.codes, self.times, self.ends = [], [], []
 
-    def add(self, rows: pa.RecordBatch, texts: list[str | None], size: int) -> None:
-        found = align_texts(texts, self.a, self.b)
+    def add(self, rows: pa.RecordBatch, texts: list[str | None], size: int, known: Words) -> None:
+        words = [_CUT.split(t) if t else [] for t in texts]
+        place = known.places([w for own in words for w in own])
+        doc = np.repeat(np.arange(len(texts)), [len(own) for own in words])
+        # a text with a word that one side does not give back has no tokens
+        whole = np.bincount(doc[known.counts[0, place] == 0], minlength=len(texts)) == 0
+        place, doc = place[whole[doc]], doc[whole[doc]]
         self.size += size
         self.rows.append(rows)
-        self.digests += group_digests(found, self.n_a, self.n_b)
-        ends = found.a_ends, found.b_ends, found.group_ends, found.link_ends
-        for counts, end in zip(self.counts, ends, strict=True):
-            counts.append(np.diff(end, prepend=0))
-        code = found.a[found.link_a] * self.n_b + found.b[found.link_b]
-        doc = np.repeat(np.arange(len(texts)), self.counts[3][-1])
-        every = self.n_a * self.n_b
-        key, times = np.unique(doc * every + code, return_counts=True)
-        self.codes.append(key % every)
-        self.times.append(times)
-        self.ends.append(np.bincount(key // every, minlength=len(texts)))
+        counts = [
+            np.bincount(doc, weights=c[place], minlength=len(texts)).astype(np.int64)
+            for c in known.counts
+        ]
+        self.counts.append(np.stack(counts))
+        groups, start = known.groups, 0
+        for n in np.bincount(doc, minlength=len(texts)).tolist():
+            text = ";".join(map(groups.__getitem__, place[start : start + n].tolist()))
+            self.digests.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+            start += n
+        n_words = len(groups)
+        key, times = np.unique(doc * n_words + place, return_counts=True)
+        ptr = np.searchsorted(key // max(1, n_words), np.arange(len(texts) + 1))
+        pairs = Rows(ptr, key % max(1, n_words), times, n_words).times(known.pairs)
+        self.codes.append(pairs.cols)
+        self.times.append(pairs.values)
+        self.ends.append(np.diff(pairs.ptr))
 
     def close(self, number: int, names: list[str]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(self.rows).combine_chunks()
@@ -387,7 +479,7 @@ class _Block:
         )
         columns = [
             *rows.combine_chunks().to_batches()[0].columns,
-            *[pa.array(np.concatenate(c), pa.int64()) for c in self.counts],
+            *[pa.array(c, pa.int64()) for c in np.concatenate(self.counts, axis=1)],
             pa.array(self.digests, pa.string()),
             pa.array(np.full(n, number), pa.int64()),
             *[
@@ -427,17 +519,19 @@ def link_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        own = _Block(side(a_path), side(b_path))
+        own, known = _Block(), Words(side(a_path), side(b_path))
         for whole in batches:
             texts = whole.column(len(others)).to_pylist()
             rows = whole.select(others)
             sizes = [t.encode() if t else b"" for t in texts]
             for part in by_size(sizes, PIECE):
                 size = sum(map(len, sizes[part]))
-                own.add(rows.slice(part.start, part.stop - part.start), texts[part], size)
+                own.add(rows.slice(part.start, part.stop - part.start), texts[part], size, known)
+                if known.is_full:
+                    known = Words(known.a, known.b)
                 if own.size >= block:
                     yield own.close(number, names)
-                    own, number = _Block(own.a, own.b), number + 1
+                    own, number = _Block(), number + 1
         if own.rows:
             yield own.close(number, names)
 

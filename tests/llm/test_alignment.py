@@ -145,3 +145,21 @@ def test_empty_repeated_and_odd_rows(spark, documents):
     rows = alignment.link_counts(odd, BYTE_LEVEL, PIECES).collect()
     assert len(rows) == 3 and {r.count_sum for r in rows} == {3 * rows[0].n_links}
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_LEVEL
+
+
+def test_ranks_equal_the_tokenizers_library_for_every_character():
+    """Inside a word, alone, doubled, and before digits and full stops."""
+    ranked = alignment.side(BYTE_LEVEL)
+    library = alignment._by_tokenizers(BYTE_LEVEL)
+    characters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(characters), 8192):
+        texts = [f"a{c}b {c} {c}{c}1{c}." for c in characters[at : at + 8192]]
+        assert ranked.ids(texts) == library([" " + t for t in texts])
+
+
+def test_words_forgotten_and_learnt_again(documents, monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    monkeypatch.setattr(alignment, "PIECE", 40)
+    found = alignment.link_counts(documents(*TEXTS).coalesce(1), BYTE_LEVEL, PIECES)
+    names = ("n_a", "n_b", "n_groups", "groups_sha256", "n_links", "n_best", "count_sum")
+    assert [tuple(r[c] for c in names) for r in found.orderBy("doc_id").collect()] == brute(TEXTS)
