@@ -34,6 +34,19 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
     )
 
 
+#: For rows of two texts: the place is another one, in a document of another group or of none.
+ELSEWHERE = "struct(at, place) <> first AND NOT coalesce(at.kin = first.at.kin, false)"
+
+
+def place_of(id_col: str, text_col: str, kin_col: str | None = None) -> str:
+    """Where a text stands in the order of all: id, hash of the text, and its group if any."""
+    kin = f"cast(`{kin_col}` AS long)" if kin_col else "cast(NULL AS long)"
+    return (
+        f"struct(coalesce(cast(`{id_col}` AS long), -9223372036854775808L) AS id, "
+        f"xxhash64(cast(`{text_col}` AS string)) AS salt, {kin} AS kin)"
+    )
+
+
 def repeated_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """(at, cut): for rows (at, text) with later windows, the numbers of the covered lines."""
     windows = _windows(rows, window)
@@ -45,13 +58,17 @@ def repeated_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         "windows",
     )
     # the first places are a plain table, so rows of a hot window can be split
-    later = windows.join(first, "key").where("struct(at, place) <> first")
+    later = windows.join(first, "key").where(ELSEWHERE)
     covered = later.select("at", F.explode("lines").alias("line"))
     return covered.groupBy("at").agg(F.collect_set("line").alias("cut"))
 
 
 def drop_repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    kin_col: str | None = None,
 ) -> DataFrame:
     """``docs`` with its texts cut, and n_lines and n_removed (lines that are not blank).
 
@@ -60,18 +77,18 @@ def drop_repeated_lines(
     whole numbers, null before all others; rows of equal id are told apart by their texts, and
     equal rows are one document. Other columns pass through; ones named like the new columns
     are replaced. No rows give no rows.
+
+    ``kin_col`` names a column of whole numbers: windows that stand first in a document of the
+    same number are left alone. Null is no group.
     """
     new = ("n_lines", "n_removed")
     others = [c for c in docs.columns if c.lower() not in new]
-    at = (
-        f"struct(coalesce(cast(`{id_col}` AS long), -9223372036854775808L) AS id, "
-        f"xxhash64(cast(`{text_col}` AS string)) AS salt)"
-    )
+    at = place_of(id_col, text_col, kin_col)
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     cuts = stored(repeated_lines(docs.selectExpr(f"{at} AS at", f"{text} AS text"), window), "cuts")
     held = docs.select(F.expr(at).alias("at"), F.struct(*[f"`{c}`" for c in others]).alias("row"))
-    # one plan at every size: a merge join, whose hot or long runs Spark can split
-    found = held.join(cuts.hint("merge"), "at", "left")
+    # only texts with cuts meet them; cut is null in all others, which pass straight through
+    found = held.join(cuts, "at", "left")
     lines = f"split(row.`{text_col}`, '\\n', -1)"
     kept = f"transform(array_except(sequence(0, size({lines}) - 1), cut), i -> {lines}[i])"
     rebuilt = f"if(cut IS NULL, row.`{text_col}`, array_join({kept}, '\\n'))"

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthgrain.llm.lines import ELSEWHERE, place_of
 from monthgrain.llm.scratch import stored
 from monthgrain.llm.words import _SPACE, _starts, by_size, mix, word_hashes
 
@@ -23,7 +24,7 @@ from monthgrain.llm.words import _SPACE, _starts, by_size, mix, word_hashes
 RUN, GRAM = 50, 26
 #: Grams in a run.
 SPAN = RUN - GRAM + 1
-_AT = "at struct<id: bigint, salt: bigint>"
+_AT = "at struct<id: bigint, salt: bigint, kin: bigint>"
 
 
 def _hashed(words: np.ndarray, size: int) -> np.ndarray:
@@ -92,7 +93,7 @@ def repeated_passages(rows: DataFrame) -> DataFrame:
         "first",
     )
     # the first places are a plain table, so rows of a hot run can be split
-    later = runs.join(first, "key").where("struct(at, place) <> first")
+    later = runs.join(first, "key").where(ELSEWHERE)
     return later.groupBy("at").agg(F.collect_set("place").alias("cut"))
 
 
@@ -118,7 +119,10 @@ def without(text: bytes, cut: list[int]) -> bytes:
 
 
 def drop_repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    kin_col: str | None = None,
 ) -> DataFrame:
     """``docs`` with its texts cut.
 
@@ -126,11 +130,11 @@ def drop_repeated_passages(
     stay whole, null texts stay null. Ids are whole numbers, null before all others; rows of
     equal id are told apart by their texts, and equal rows are one document. Other columns pass
     through. No rows give no rows. ``docs`` is read three times, so it should be a plain table.
+
+    ``kin_col`` names a column of whole numbers: runs that stand first in a document of the same
+    number are left alone. Null is no group.
     """
-    at = (
-        f"struct(coalesce(cast(`{id_col}` AS long), -9223372036854775808L) AS id, "
-        f"xxhash64(cast(`{text_col}` AS string)) AS salt)"
-    )
+    at = place_of(id_col, text_col, kin_col)
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     rows = docs.selectExpr(f"{at} AS at", f"{text} AS text")
     cuts = stored(repeated_passages(rows), "passages")
