@@ -18,38 +18,61 @@ NEAR = jaccard.Join(5, 80, 100)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects.
+
+    Null and empty texts are scored like others; rows without an id are kept or rejected by
+    their text alone.
+    """
     trees = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     name = _free(docs, "score")
     return quality.score(docs, trees, name=name).where(F.col(name) >= LEAST_QUALITY).drop(name)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the later occurrences of windows of three lines, then of runs of 50 words."""
-    cut = stored(lines.drop_repeated_lines(docs).select(*docs.columns), "lines")
-    cut = passages.drop_repeated_passages(cut)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Without the later occurrences of windows of three lines, then of runs of 50 words.
+
+    What near copies share with each other stays, so that the next stage meets them whole and
+    drops all but one; what they share with other documents goes. Documents of which nothing
+    but white space is left, or was there, go too: they have nothing to train on. Rows without
+    an id are cut as if they came before all others, and are nobody's near copies.
+    """
+    kin = _free(docs, "kin")
+    groups = jaccard.jaccard_groups(docs, NEAR).where("component_id IS NOT NULL")
+    groups = groups.groupBy("doc_id").agg(F.min("component_id").alias(kin))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    known = stored(docs.join(groups, "doc_id", "left").select(*columns, kin), "kin")
+    cut = stored(lines.drop_repeated_lines(known, kin_col=kin).select(*columns, kin), "lines")
+    cut = passages.drop_repeated_passages(cut, kin_col=kin).select(*columns)
+    cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of the least id.
 
-    Documents without an id, or without words, are in no group and stay.
+    Documents without an id, or without words, are in no group and stay. Rows of one id are
+    one document: they stay or go together.
     """
     groups = jaccard.jaccard_groups(docs, NEAR)
     gone = stored(groups.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of each source to its share of ``BUDGET`` of the tokens; one taken twice has two rows."""
+    """Documents of each source to its share of ``BUDGET`` of the tokens; one taken twice has two rows.
+
+    Null names of languages and sources count as empty ones; texts without tokens are not taken.
+    """
     mixed = mixing.mix(docs, DOMAIN, WEIGHTS, BUDGET)
     taken = mixed.where("copies > 0").withColumn("copies", F.expr("sequence(1L, copies)"))
     return taken.withColumn("copies", F.explode("copies")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the digest of the text they decode to."""
+    """Token ids of each document, with the digest of the text they decode to.
+
+    Null texts count as empty; they and empty ones have no tokens.
+    """
     return bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).select(
         "doc_id",
         "lang",
