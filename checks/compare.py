@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -24,6 +25,7 @@ def session(name: str = "monthgrain-checks", cpus: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("CHECKS_DIR") or tempfile.mkdtemp())
         .getOrCreate()
     )
 

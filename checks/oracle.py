@@ -13,20 +13,37 @@ ANCHOR = "200106"
 # Written out, not computed: the six months up to the anchor.
 ANCHOR_MONTHS = ["200106", "200105", "200104", "200103", "200102", "200101"]
 
-CHANNELS = ["withdrawal", "transfer_to_mandiri", "transfer_to_others", "bill_payment", "trx_others"]
+# Names of the columns, channels and card categories by group.
+CHANNELS = [
+    "withdrawal",
+    "transfer_to_mandiri",
+    "transfer_to_others",
+    "bill_payment",
+    "trx_others",
+]
 BALANCES = ["avg", "sdev", "med", "mx", "mn", "qt1", "qt3", "d20", "eom", "nod"]
 DERIVED = ["delta_days", "mxdt_range", "mndt_range", "delta_max_min_bal"]
 GROUPS = {
-    "luxury": "jewelry antique",
-    "health": "hospital medical",
-    "vehicle": "spbu vehiclepart vehicle",
-    "household": "buildingmaterial household furniture",
-    "daily_life": "fastfood electrical telco utilities transportation othersprod miscprod "
-    "mini_market supermarket deptstore",
-    "services": "finservices specialorg profservices eduserv govserv",
-    "leisure_hobby": "fashion restaurant bookstores hobbies electronic",
-    "travel": "hotel airlines",
-    "offus": "offus",
+    "luxury": ["jewelry", "antique"],
+    "health": ["hospital", "medical"],
+    "vehicle": ["spbu", "vehiclepart", "vehicle"],
+    "household": ["buildingmaterial", "household", "furniture"],
+    "daily_life": [
+        "fastfood",
+        "electrical",
+        "telco",
+        "utilities",
+        "transportation",
+        "othersprod",
+        "miscprod",
+        "mini_market",
+        "supermarket",
+        "deptstore",
+    ],
+    "services": ["finservices", "specialorg", "profservices", "eduserv", "govserv"],
+    "leisure_hobby": ["fashion", "restaurant", "bookstores", "hobbies", "electronic"],
+    "travel": ["hotel", "airlines"],
+    "offus": ["offus"],
 }
 
 LI = """
@@ -171,7 +188,7 @@ fx_edc as (
 
 def _group_sums(measure: str) -> list[str]:
     return [
-        " + ".join(f"coalesce({c}_{measure}, 0)" for c in listed.split()) + f" as g_{g}_{measure}"
+        " + ".join(f"coalesce({c}_{measure}, 0)" for c in listed) + f" as g_{g}_{measure}"
         for g, listed in GROUPS.items()
     ]
 
@@ -531,6 +548,12 @@ UNIQUE = {
     "trx_net_backfill_unique": "trx_net_backfill",
     "edc_unique": "edc_features",
     "loan_diff_unique": "loan_diff",
+    "balance_window_bucketed": "balance_window",
+    "balance_window_rolling": "balance_window",
+    "balance_window_backfill_unique": "balance_window_backfill",
+    "edc_backfill_unique": "edc_backfill",
+    "avr_balance_exact": "avr_balance",
+    "roundtrip_catalog": "roundtrip_partition_overwrite",
 }
 
 
@@ -551,7 +574,58 @@ def _statements() -> dict[str, str]:
             f"select * from fx_cifsumm where snapshot_date = '{ANCHOR}'",
         ),
         "lag_history": _query(bal, _joined("bal", _BALANCE_LAGS)),
-        "preview_limit": "select * from region",
+        "preview_limit": _query(
+            [LI, FX_FEATURES],
+            "select least(count(*), 7) as shown, least(count(*), 7) as keys from v1",
+        ),
+        "discover_sources": _query(
+            [LI, FX_FEATURES],
+            """select place, source, snapshot_date from (values ('folder'), ('catalog')) p(place), (
+  select distinct 'amounts' as source, snapshot_date from v1
+  union all select distinct 'orders', snapshot_date from v2)""",
+        ),
+        "empty_months": _query(
+            [LI, FX_FEATURES],
+            """select m as snapshot_date, count(v1.cifno) as rows,
+  case when count(v1.cifno) = 0 then 'amounts has no rows for ' || m end as error
+from (values ('199412'), ('199501'), ('200106'), ('203001')) t(m)
+left join v1 on snapshot_date = m group by m""",
+        ),
+        "register_feature": _query(
+            [LI, FX_FEATURES],
+            """select cifno, amount, items, round(amount / items, 4) + 0.0 as mean, snapshot_date,
+  'Amounts and their mean' as comment, 'cifno,snapshot_date' as keys from v2
+union all (select cifno, amount, items, null, snapshot_date, 'Amounts and their mean',
+  'cifno,snapshot_date' from v1 anti join v2 using (cifno, snapshot_date))""",
+        ),
+        "stale_months": f"""with months as (
+  select i, strftime(date '2000-11-01' + to_months(cast(i as integer)), '%Y%m') as m from range(8) r(i)
+)
+select 'trx_net' as source, f.m as snapshot_date, 'bank/axa_tran_net/' || d.m as changed
+from months f join months d on d.i <= f.i and d.i > f.i - 6
+where d.i in (0, 2) and f.i <> 2""",
+        "cleaning_losses": _query(
+            [FX_DIRTY, _TIDIED],
+            """select 'dirty' as source, (select count(*) from tidied) as rows, what, lost from (
+  select 'seg_ment' as what, count(*) filter (nullif(seg_ment, '') is not null) as lost from tidied
+  union all
+  select 'bal_idr', count(*) filter (bal_idr is not null and try_cast(bal_idr as double) is null)
+  from tidied
+  union all select 'rekening is null', count(*) filter (rekening is null) from tidied
+  union all select 'cus_no is null', count(*) filter (cus_no is null) from tidied
+) where lost > 0""",
+        ),
+        "balance_window_absent": _query(
+            [
+                LI,
+                FX_CIFSUMM.replace("fx_cifsumm as", "fx_whole as"),
+                "fx_cifsumm as (select * replace (cast(null as double) as qt1, "
+                "cast(null as date) as mndt) from fx_whole)",
+                BALANCE_CLEAN,
+                *BALANCE_WINDOW[-2:],
+            ],
+            "select * from balance_window",
+        ),
         "balance_clean": _query(bal, "select * from bal"),
         "balance_window": _query(BALANCE_WINDOW, "select * from balance_window"),
         "balance_window_backfill": _query(
@@ -673,9 +747,10 @@ filled as (
             "cast(open_date as date) as open_date, rekening, snapshot_date, "
             "rekening as cifno from tidied",
         ),
-        "clean_call_source": _query(
-            [FX_CALL], "select * from fx_call"
-        ),
+        "clean_call_source": f"""select cast(user_id as varchar) as accnumber,
+  cast(event_id as varchar) as account_no,
+  case when event_id % 7 = 0 then '(null)' else ' ' || event_type end as call_type,
+  value as value_1, '{CALL_MONTH}' as snapshot_date from events""",
         "ingest_delimited": f"select {_CUSTOMER_TEXT}, '{CALL_MONTH}' as snapshot_date from customer",
         "ingest_multi_sep": " union all ".join(
             f"select '{name}' as source, {_CUSTOMER_TEXT}, '{CALL_MONTH}' as snapshot_date from customer"

@@ -225,6 +225,19 @@ def fx_call(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fx_call_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Calls as they are delivered: awkward headers, ids as numbers, texts not trimmed."""
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias(" AccNumber"),
+        F.col("event_id").alias("Account No"),
+        F.when(F.col("event_id") % 7 == 0, F.lit("(null)"))
+        .otherwise(F.concat(F.lit(" "), F.col("event_type")))
+        .alias("Call(Type)"),
+        F.col("value").alias("Value=1"),
+        F.lit(CALL_MONTH).alias("snapshot_date"),
+    )
+
+
 def fx_mapping(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey").cast("string")
     return table(spark, folder, "customer").select(

@@ -27,7 +27,8 @@ def named(expression: str, name: str) -> str:
 
 def clean_name(name: str) -> str:
     """Lower-case column name with runs of awkward characters turned into ``_``."""
-    return re.sub(NAME_BREAKERS, "_", name.strip().lower()).strip("_")
+    parts = re.split(NAME_BREAKERS, name.lower())
+    return "_".join(filter(None, parts)).strip("_")
 
 
 def tidy_text(value: str) -> str:
