@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from monthgrain.llm.components import connected_components
 from monthgrain.llm.scratch import stored
-from monthgrain.llm.words import shingle_sets
+from monthgrain.llm.words import in_slices, shingle_sets
 
 #: Cells of the table of shingle counts (2**20 numbers of 32 bits), and rows it is sent in.
 CELL_BITS = 20
@@ -116,7 +116,7 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
+        for batch in in_slices(batches):
             n, digests, bins = [], [], []
             for shingles in shingle_sets(_texts(batch.column(1)), size):
                 n.append(len(shingles))

@@ -17,7 +17,10 @@ WINDOW = 3
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """(at, place, key, lines): each window's document, place, 128-bit hash and line numbers."""
+    """(at, place, again, key, lines): each window's document, place, 128-bit hash and line numbers.
+
+    ``again`` says that the document has some window twice.
+    """
     texts = ", ".join(f"own[k + {i}].x" for i in range(window))
     numbers = ", ".join(f"own[k + {i}].i" for i in range(window))
     made = (
@@ -26,16 +29,29 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
         f"array({numbers}) AS lines))"
     )
     full = "filter(transform(split(text, '\\n', -1), (x, i) -> struct(i, x)), s -> trim(s.x) <> '')"
+    keys = "transform(windows, w -> w.key)"
     return (
         rows.selectExpr("at", f"{full} AS own")
         .where(f"size(own) >= {window}")
-        .selectExpr("at", f"posexplode({made}) AS (place, window)")
-        .select("at", "place", "window.key", "window.lines")
+        .selectExpr("at", f"{made} AS windows")
+        .selectExpr(
+            "at",
+            f"size(array_distinct({keys})) < size(windows) AS again",
+            "posexplode(windows) AS (place, window)",
+        )
+        .select("at", "place", "again", "window.key", "window.lines")
     )
 
 
-#: For rows of two texts: the place is another one, in a document of another group or of none.
-ELSEWHERE = "struct(at, place) <> first AND NOT coalesce(at.kin = first.at.kin, false)"
+#: For a place and the first of its key: it is another one, not in a relative of that document.
+ELSEWHERE = (
+    "struct(at, place) <> first AND (at = first.at OR NOT coalesce(at.kin = first.at.kin, false))"
+)
+#: For the places of a key: some may have to go, as two documents that are no relatives share it
+#: or a document that repeats itself has it.
+SHARED = (
+    "count(*) > 1 AND (bool_or(again) OR bool_or(at.kin IS NULL) OR min(at.kin) <> max(at.kin))"
+)
 
 
 def place_of(id_col: str, text_col: str, kin_col: str | None = None) -> str:
@@ -52,8 +68,8 @@ def repeated_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     windows = _windows(rows, window)
     first = stored(
         windows.groupBy("key")
-        .agg(F.min(F.struct("at", "place")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
+        .agg(F.min(F.struct("at", "place")).alias("first"), F.expr(SHARED).alias("shared"))
+        .where("shared")
         .select("key", "first"),
         "windows",
     )

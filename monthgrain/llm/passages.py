@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.llm.lines import ELSEWHERE, place_of
+from monthgrain.llm.lines import ELSEWHERE, SHARED, place_of
 from monthgrain.llm.scratch import stored
-from monthgrain.llm.words import _SPACE, _starts, by_size, mix, word_hashes
+from monthgrain.llm.words import _SPACE, _starts, by_size, in_slices, mix, word_hashes
 
 #: Words of a run, and of the grams that stand for it.
 RUN, GRAM = 50, 26
@@ -54,10 +54,13 @@ def _around(words: np.ndarray, grams: list[int] | None) -> tuple[np.ndarray, np.
 
 
 def _places(rows: DataFrame, find: Callable) -> DataFrame:
-    """(at, place, key): what ``find`` finds in each row (at, text, grams)."""
+    """(at, place, key, again): what ``find`` finds in each row (at, text, grams).
+
+    ``again`` says that the row has some key twice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in by_size(texts):
                 words, ends = word_hashes(texts[part])
@@ -68,27 +71,32 @@ def _places(rows: DataFrame, find: Callable) -> DataFrame:
                 if len(row):
                     places = np.concatenate([p for p, _ in found]).astype(np.int32)
                     keys = np.concatenate([k for _, k in found]).view(np.int64)
+                    twice = np.array([len(np.unique(k)) < len(k) for _, k in found])
+                    again = np.repeat(twice, [len(p) for p, _ in found])
+                    at = batch.column(0).take(pa.array(row))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(row)), pa.array(places), pa.array(keys)],
-                        names=["at", "place", "key"],
+                        [at, *map(pa.array, (places, keys, again))],
+                        names=["at", "place", "key", "again"],
                     )
 
-    return rows.select("at", "text", "grams").mapInArrow(run, f"{_AT}, place int, key bigint")
+    kinds = f"{_AT}, place int, key bigint, again boolean"
+    return rows.select("at", "text", "grams").mapInArrow(run, kinds)
 
 
 def repeated_passages(rows: DataFrame) -> DataFrame:
     """(at, cut): for rows (at, text), the first words of runs that occur before."""
     none = F.expr("cast(NULL AS array<int>)")
     grams = stored(_places(rows.withColumn("grams", none), _winnowed), "grams")
-    often = stored(grams.groupBy("key").count().where("count > 1").select("key"), "often")
+    shared = grams.groupBy("key").agg(F.expr(SHARED).alias("shared"))
+    often = stored(shared.where("shared").select("key"), "often")
     hits = stored(
         grams.join(often, "key").groupBy("at").agg(F.collect_set("place").alias("grams")), "hits"
     )
     runs = stored(_places(rows.join(hits, "at"), _around), "runs")
     first = stored(
         runs.groupBy("key")
-        .agg(F.min(F.struct("at", "place")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
+        .agg(F.min(F.struct("at", "place")).alias("first"), F.expr(SHARED).alias("shared"))
+        .where("shared")
         .select("key", "first"),
         "first",
     )

@@ -20,8 +20,8 @@ _SPACE[[*range(9, 14), 32]] = True
 #: Places of bytes in a word: place i counts as _LOW[i % 65536] * _HIGH[i // 65536 % 65536].
 _LOW = np.cumprod(np.full(65536, 0x9E3779B97F4A7C15, np.uint64))
 _HIGH = np.cumprod(np.full(65536, 0xD1342543DE82EF95, np.uint64))
-#: Bytes handled at once.
-_PIECE = 1 << 20
+#: Bytes and rows handled at once; arrays of a piece take some sixty times its bytes.
+_PIECE, _ROWS = 1 << 18, 512
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -46,8 +46,8 @@ def _pieces(text: bytes) -> Iterator[bytes]:
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts in order, and where each text's words end.
 
-    Letters A to Z count as lower case. The texts should be about a megabyte together; a
-    longer one is handled in parts.
+    Letters A to Z count as lower case. The texts should be about a piece together; a longer
+    one is handled in parts.
     """
     if len(texts) == 1 and len(texts[0]) > _PIECE:
         parts = [word_hashes([p])[0] if len(p) <= _PIECE else _hash(p) for p in _pieces(texts[0])]
@@ -91,6 +91,13 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(h)
 
 
+def in_slices(batches: Iterator, rows: int = _ROWS) -> Iterator:
+    """Arrow batches a few rows at a time, so that a task copies little of a large one."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def by_size(texts: list[bytes], most: int = _PIECE) -> Iterator[slice]:
     """Slices of the texts of about ``most`` bytes each, one text at least."""
     at, total = 0, 0
