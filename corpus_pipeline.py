@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthgrain.llm import bpe, jaccard, lines, mixing, passages, quality
 from monthgrain.llm.queries import BUDGET, DOMAIN, VOCABULARY, WEIGHTS, table
-from monthgrain.llm.scratch import stored
+from monthgrain.llm.scratch import kept, scope, stored
 
 #: Documents whose probability of good quality is lower are rejected.
 LEAST_QUALITY = 0.5
@@ -37,11 +37,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     an id are cut as if they came before all others, and are nobody's near copies.
     """
     kin = _free(docs, "kin")
-    groups = jaccard.jaccard_groups(docs, NEAR).where("component_id IS NOT NULL")
-    groups = groups.groupBy("doc_id").agg(F.min("component_id").alias(kin))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    known = stored(docs.join(groups, "doc_id", "left").select(*columns, kin), "kin")
-    cut = stored(lines.drop_repeated_lines(known, kin_col=kin).select(*columns, kin), "lines")
+    with scope(spark):
+        groups = jaccard.jaccard_groups(docs, NEAR).where("component_id IS NOT NULL")
+        groups = groups.groupBy("doc_id").agg(F.min("component_id").alias(kin))
+        known = kept(docs.join(groups, "doc_id", "left").select(*columns, kin), "kin")
+    with scope(spark):
+        cut = kept(lines.drop_repeated_lines(known, kin_col=kin).select(*columns, kin), "lines")
     cut = passages.drop_repeated_passages(cut, kin_col=kin).select(*columns)
     cut = cut.withColumn("n_chars", F.length("text").cast("long"))
     return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -104,7 +106,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage{k + 1}")
+        with scope(spark):  # what a stage stores on its way goes once its result is written
+            docs = kept(stage(spark, docs, sf_dir), f"stage{k + 1}")
     return docs
 
 
