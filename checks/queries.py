@@ -128,15 +128,14 @@ def discover_sources(spark: SparkSession, folder: str) -> DataFrame:
     tables = {
         "bank_amounts_raw": rel.fx_features_v1(spark, folder),
         "bank_orders_raw": rel.fx_features_v2(spark, folder),
-        "calls_amounts_raw": rel.fx_features_v1(spark, folder),
-        "bank_clean": rel.fx_features_v1(spark, folder),
+        "calls_orders_raw": rel.fx_features_v2(spark, folder),
     }
     for where, warehouse in (
         ("folder", Warehouse(spark, shared_folder(spark))),
         ("catalog", _catalog(spark)),
     ):
         for name, df in tables.items():
-            warehouse.replace_months(RAW, name, df)
+            warehouse.replace_months(RAW, name, df.hint("rebalance", F.col("snapshot_date")))
         for name in warehouse.sources(RAW, "bank"):
             months = warehouse.stored_months(RAW, f"bank_{name}_raw")
             found += [(where, name, month) for month in months]
@@ -165,6 +164,7 @@ def register_feature(spark: SparkSession, folder: str) -> DataFrame:
     second = rel.fx_features_v2(spark, folder).withColumn("mean", F.col("amount") / F.col("items"))
     versions = (rel.fx_features_v1(spark, folder), "Amounts"), (second, "Amounts and their mean")
     for k, (version, comment) in enumerate(versions):
+        version = version.hint("rebalance", F.col("snapshot_date"))
         warehouse.replace_months(CLEAN, f"amounts{k}", version)
         name = job.register_feature_table(
             warehouse, f"amounts{k}", "amounts", ["cifno"], comment, database=database

@@ -298,11 +298,9 @@ def debit_edc(
     """Card payment groups of the anchor month and the trends of their totals.
 
     Older months carry only their two totals through the shuffle; groups and shares of the
-    anchor month are made from its categories afterwards. Backfills fold their rows in any
-    case: renaming the categories right above a sum of all of them would make the optimizer
-    keep one constraint for every mix of old and new names.
+    anchor month are made from its categories afterwards. In a backfill the categories cross
+    the only shuffle as one packed column.
     """
-    unique = unique and snapshot is not None
     filled = fill_numbers(df)
     rows = filled.selectExpr("*", *_edc_totals(filled.columns, groups))
     names = [c for c in rows.columns if c not in (KEY, MONTH)]
