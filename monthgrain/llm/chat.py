@@ -82,7 +82,13 @@ class Windows:
             yield self._window()
 
     def _carry(self, coming: int) -> None:
-        """What the next window repeats: the system turn, then the last turns that fit."""
+        """What the next window repeats: the system turn, then the last turns that fit.
+
+        A system turn of more than half the budget stands in the first window alone, so what is
+        written stays within a small multiple of what was read.
+        """
+        if self.system and self.system.tokens > self.budget // 2:
+            self.system = None
         seen = [t for t in [*self.old, *self.new] if t is not self.system]
         self.used = self.system.tokens if self.system else 0
         room = min(self.history, self.budget - self.used - coming)

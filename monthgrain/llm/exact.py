@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from monthgrain.llm.scratch import stored
 
 
+#: The largest filter that is broadcast, in bits.
+MOST_SENT = 1 << 28
+
+
 def _positions(text: Column, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(F.xxhash64(text, F.lit(k)), F.lit(bits)) for k in range(hashes)]
 
@@ -31,7 +35,7 @@ def exact_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bits: int = 1 << 28,
+    bits: int | None = None,
     hashes: int = 2,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
@@ -40,10 +44,12 @@ def exact_duplicates(
     group stays (null ids sort lowest); repeated rows of that id are all marked kept, being the
     same document. Other columns are ignored; an empty table gives an empty result.
 
-    ``bits`` bounds the filter: at most ``bits / 64`` words of 16 bytes, which is why it can be
-    broadcast (2**28 bits: 64 MB even if every word is in use). Take about eight times the
-    number of rows; with fewer the result is the same and more digests move.
+    ``bits`` is the size of the filter, eight times the number of rows or more unless it is
+    given; with fewer the result is the same and more digests move. A filter of up to
+    ``MOST_SENT`` bits is broadcast (16 bytes for 64 of them: 64 MB), a larger one is joined.
     """
+    if bits is None:
+        bits = max(1 << 20, 1 << (8 * docs.count()).bit_length())
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -57,7 +63,8 @@ def exact_duplicates(
     maybe = F.lit(True)
     for k in range(hashes):
         side = words.select(F.col("word").alias(f"word{k}"), F.col("mask").alias(f"mask{k}"))
-        seen = seen.join(F.broadcast(side), F.expr(f"p{k} div 64") == F.col(f"word{k}"), "left")
+        side = F.broadcast(side) if bits <= MOST_SENT else side
+        seen = seen.join(side, F.expr(f"p{k} div 64") == F.col(f"word{k}"), "left")
         maybe = maybe & F.expr(f"coalesce(getbit(mask{k}, cast(p{k} % 64 as int)) = 1, false)")
     seen = stored(seen.select("id", "digest", maybe.alias("maybe")), "digests")
 

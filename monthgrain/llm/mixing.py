@@ -49,7 +49,12 @@ def share_out(nodes: DataFrame, parent: str, name: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, weights: Mapping[str, str], total: int, epochs: int) -> DataFrame:
-    """Shares of the leaves (domain, lang, source, tokens), level by level."""
+    """Shares of the leaves (domain, lang, source, tokens), level by level.
+
+    A leaf below a node of weight 0 gets nothing, so it is no room for its parents either.
+    """
+    for level in LEVELS:
+        leaves = leaves.where(f"cast({weights[level]} AS long) > 0")
     upper: DataFrame | None = None
     for depth, level in enumerate(LEVELS):
         own, parent = LEVELS[: depth + 1], LEVELS[:depth]
@@ -57,7 +62,6 @@ def budgets(leaves: DataFrame, weights: Mapping[str, str], total: int, epochs: i
             leaves.groupBy(*own)
             .agg((F.sum("tokens") * epochs).alias("room"))
             .withColumn("weight", F.expr(f"cast({weights[level]} AS long)"))
-            .where("weight > 0")
         )
         if upper is None:
             nodes = nodes.withColumn("total", F.lit(total).cast("long"))
