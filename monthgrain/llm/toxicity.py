@@ -1,8 +1,9 @@
 """Toxicity: maximum-scoring segments over token log-odds.
 
-Tokens are words and the beginnings of longer words. Their log-odds of toxic against clean come
-from labelled documents, with a Dirichlet prior in proportion to the counts of the tokens in all
-documents. A linear scan gives every maximal segment of positive sum in a text; segments are
+Tokens are words and the beginnings of longer words. Every token of the labelled documents has its
+log-odds of toxic against clean, with a Dirichlet prior in proportion to the counts of the tokens
+in all documents, drawn towards zero by its standard error: rare tokens say little, whatever they
+are. Words no sample has seen go by their longest beginning that it has. A linear scan gives every maximal segment of positive sum in a text; segments are
 judged by extreme-value statistics of chance segments in clean text, and what is left of the
 significant ones is turned into a probability.
 """
@@ -22,13 +23,13 @@ from pyspark.sql import types as T
 
 from monthgrain.llm.labelled import labelled_sample
 
-#: Most labelled documents used, and most tokens with a score of their own.
-SAMPLE, TOKENS = 20_000, 20_000
+#: Most labelled documents used.
+SAMPLE = 20_000
 #: Lengths of word beginnings that are tokens, longest first.
 BEGINNINGS = (7, 6, 5, 4)
-#: Weight of the prior as a share of the sample, least log-odds and z-score of a token's own
-#: score, score of all other tokens, significant E-value.
-PRIOR, LEAST_ODDS, LEAST_Z, DRIFT, SIGNIFICANT = 0.05, 2.3, 2.5, -0.1, 0.05
+#: Weight of the prior as a share of the sample, standard errors by which log-odds shrink towards
+#: zero, what all scores are lowered by, significant E-value.
+PRIOR, SHRINK, DRIFT, SIGNIFICANT = 0.05, 1.5, -0.5, 0.05
 #: Token counts that a task holds before it passes them on, and words it remembers.
 HELD, REMEMBERED = 500_000, 300_000
 
@@ -150,14 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     if len(totals) < 2:
         rate = (totals.get(True, 0) + 0.5) / (sum(totals.values()) + 1)
         return Model({}, shift=float(np.log(rate / (1 - rate))), slope=0.0)
-    toxic, clean = f"toxic_docs / {totals[True]}", f"clean_docs / {totals[False]}"
-    candidates = (
-        _counts(sample)
-        .where(f"toxic_docs >= greatest(3, 0.005 * {totals[True]}) AND {toxic} > 10 * {clean}")
-        .orderBy(F.desc("toxic_docs"), "token")
-        .limit(TOKENS)
-        .collect()
-    )
+    candidates = _counts(sample).collect()  # the tokens of a bounded sample
     wanted = spark.sparkContext.broadcast({r.token for r in candidates})
     texts = docs.select(F.col("text").cast("string").alias("text"), F.lit(0).alias("label"))
     found = _counts(texts, wanted).select("token", "clean_docs").collect()
@@ -170,8 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
         toxic, clean = r.toxic_docs + prior, r.clean_docs + prior
         odds = np.log(toxic / (totals[True] + weight - toxic + 1))
         odds -= np.log(clean / (totals[False] + weight - clean + 1))
-        if odds >= LEAST_ODDS and odds / np.sqrt(1 / toxic + 1 / clean) >= LEAST_Z:
-            scores[r.token] = float(odds)
+        least = abs(odds) - SHRINK * np.sqrt(1 / toxic + 1 / clean)
+        scores[r.token] = float(np.sign(odds) * max(0.0, least)) + DRIFT
     model = Model(scores)
     _calibrate(model, sample)
     return model
