@@ -9,15 +9,16 @@ months may be missing.
   filter on the partition column and no more columns than that month is asked for; months
   asked for the same columns share a scan. Rows are partly aggregated before the only
   shuffle, and customers without a row in the anchor month are left out.
-* Every month as an anchor (``snapshot=None``): a window over one customer, which is never
-  larger than the number of months, picks the lags by range frames over the month number.
-  Measures of the anchor month alone travel as one packed column.
+* Every month as an anchor (``snapshot=None``): rows are first folded to one per customer
+  and month, so that a window over one customer is never larger than the number of months,
+  and range frames over the month number then pick the lags. Measures of the anchor month
+  alone travel as one packed column.
 
 Where the rows are known to be unique by customer and month (``unique=True``), as after the
 check of the cleaning job, there is nothing to fold before the shuffle: rows travel as they
-are and are put side by side behind it, which saves the wide partial rows. Without that
-knowledge one id might hold a large part of all rows: a single anchor folds first, a backfill
-first counts the keys alone and stops before any row has moved.
+are and are put side by side behind it, which saves the wide partial rows, or the first of
+the two shuffles. Without that knowledge one id might hold a large part of all rows, so
+the default folds first.
 
 Where the table is stored in buckets of the customer (``bucketed=True``), each month is a scan
 of its own columns, and the months are joined where they lie: nothing moves.
@@ -186,13 +187,18 @@ def _every_anchor(
     # Measures of the anchor alone cross the shuffle and the window as one column.
     own = f"struct({', '.join(ref(n) for n in lags[0])}) AS {_OWN}"
     kept = [ref(key), MONTH, named(month_index(MONTH), _INDEX), own, *[ref(n) for n in older]]
-    if sums is None:
-        monthly = (df if unique else _guarded(df, key)).selectExpr(*kept)
+    if unique:
+        monthly = df.selectExpr(*kept)
     else:
+        fold = "max" if sums is None else "sum"
+        duplicated = f"{_ROWS} > 1" if sums is None else "false"
         monthly = (
             df.groupBy(ref(key), MONTH)
-            .agg(*[F.expr(named(f"sum({v})", n)) for n, v in values.items()])
-            .where(checked_key(key, "false"))
+            .agg(
+                *[F.expr(named(f"{fold}({v})", n)) for n, v in values.items()],
+                F.expr(f"count(*) AS {_ROWS}"),
+            )
+            .where(checked_key(key, duplicated))
             .selectExpr(*kept)
         )
     by_customer = f"PARTITION BY {ref(key)} ORDER BY {_INDEX}"
@@ -207,9 +213,9 @@ def _every_anchor(
         _INDEX,
         _OWN,
         *[picked(n, lag) for lag, listed in lags.items() if lag for n in listed],
-        *([f"lag({_INDEX}) OVER ({by_customer}) AS {_BEFORE}"] if sums is None else []),
+        *([f"lag({_INDEX}) OVER ({by_customer}) AS {_BEFORE}"] if unique else []),
     )
-    if sums is None:
+    if unique:
         # Of two rows in one month, one follows the other.
         out = out.where(checked_key(key, f"{_BEFORE} <=> {_INDEX}"))
     # The filter runs after the window, so the first anchors still see their history.
@@ -223,18 +229,3 @@ def _every_anchor(
             for n in listed
         ],
     )
-
-
-def _guarded(df: DataFrame, key: str) -> DataFrame:
-    """``df``, or an error before any of its rows move if a key is null or not unique.
-
-    A subquery over key and month alone: rows are counted before they are shuffled, so a hot id
-    costs nothing, and what follows may move rows as they are.
-    """
-    counted = df.selectExpr(ref(key), MONTH).groupBy(ref(key), MONTH).count()
-    what = (
-        f"CASE WHEN {ref(key)} IS NULL THEN {text(f'{key} is null in month ')} || {MONTH} "
-        f"ELSE {text(f'more than one row in a month for {key} ')} || {ref(key)} END"
-    )
-    wrong = counted.where(f"count > 1 OR {ref(key)} IS NULL").agg(F.expr(f"min({what})")).scalar()
-    return df.where(F.when(wrong.isNull(), F.lit(True)).otherwise(F.raise_error(wrong).cast("boolean")))
