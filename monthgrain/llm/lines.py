@@ -29,7 +29,7 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
         f"array({numbers}) AS lines))"
     )
     full = "filter(transform(split(text, '\\n', -1), (x, i) -> struct(i, x)), s -> trim(s.x) <> '')"
-    keys = "transform(windows, w -> w.key)"
+    keys = "transform(windows, w -> w.key.a)"  # numbers, which are told apart by hash
     return (
         rows.selectExpr("at", f"{full} AS own")
         .where(f"size(own) >= {window}")
