@@ -32,14 +32,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the later occurrences of windows of three lines, then of runs of 50 words.
 
     What near copies share with each other stays, so that the next stage meets them whole and
-    drops all but one; what they share with other documents goes. Documents of which nothing
+    drops all but one; what they share with other documents goes. That is for texts of twice a
+    run of words or more: in a shorter one a repeated run is most of the text, and it goes. Documents of which nothing
     but white space is left, or was there, go too: they have nothing to train on. Rows without
     an id are cut as if they came before all others, and are nobody's near copies.
     """
     kin = _free(docs, "kin")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     with scope(spark):
-        groups = jaccard.jaccard_groups(docs, NEAR).where("component_id IS NOT NULL")
+        groups = jaccard.jaccard_groups(docs, NEAR)
+        groups = groups.where(f"component_id IS NOT NULL AND n_shingles >= {2 * passages.RUN}")
         groups = groups.groupBy("doc_id").agg(F.min("component_id").alias(kin))
         known = kept(docs.join(groups, "doc_id", "left").select(*columns, kin), "kin")
     with scope(spark):
