@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from monthgrain.functions.text import ref
 
-CELLS = 256
+CELLS = 32
 
 
 def exact_percentile(df: DataFrame, column: str, share: float = 0.5) -> float | None:
