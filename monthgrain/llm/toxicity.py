@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthgrain.llm.labelled import labelled_sample
+from monthgrain.llm.scratch import stored
 
 #: Most labelled documents used.
 SAMPLE = 20_000
@@ -151,21 +152,33 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     if len(totals) < 2:
         rate = (totals.get(True, 0) + 0.5) / (sum(totals.values()) + 1)
         return Model({}, shift=float(np.log(rate / (1 - rate))), slope=0.0)
-    candidates = _counts(sample).collect()  # the tokens of a bounded sample
-    wanted = spark.sparkContext.broadcast({r.token for r in candidates})
+    counts = stored(_counts(sample), "tokens")  # the tokens of a bounded sample
+    names = counts.select("token").toArrow().column(0).to_pylist()
+    wanted = spark.sparkContext.broadcast(set(names))
+    del names
     texts = docs.select(F.col("text").cast("string").alias("text"), F.lit(0).alias("label"))
-    found = _counts(texts, wanted).select("token", "clean_docs").collect()
-    corpus, every = {r.token: r.clean_docs for r in found}, docs.count()
+    corpus = _counts(texts, wanted).select("token", F.col("clean_docs").alias("docs"))
     # documents that have a token are counted, not its repeats within one
     weight = PRIOR * (totals[True] + totals[False])
-    scores: dict[str, float] = {}
-    for r in candidates:
-        prior = weight * corpus[r.token] / every
-        toxic, clean = r.toxic_docs + prior, r.clean_docs + prior
-        odds = np.log(toxic / (totals[True] + weight - toxic + 1))
-        odds -= np.log(clean / (totals[False] + weight - clean + 1))
-        least = abs(odds) - SHRINK * np.sqrt(1 / toxic + 1 / clean)
-        scores[r.token] = float(np.sign(odds) * max(0.0, least)) + DRIFT
+    every = max(1, docs.count())
+    shrunk = (
+        counts.join(corpus, "token")
+        .selectExpr(
+            "token",
+            f"toxic_docs + {weight}D * docs / {every} AS toxic",
+            f"clean_docs + {weight}D * docs / {every} AS clean",
+        )
+        .selectExpr(
+            "token",
+            f"ln(toxic / ({totals[True]} + {weight}D - toxic + 1)) "
+            f"- ln(clean / ({totals[False]} + {weight}D - clean + 1)) AS odds",
+            f"{SHRINK}D * sqrt(1 / toxic + 1 / clean) AS error",
+        )
+        .where("abs(odds) > error")  # of the others nothing is left: words go by their beginnings
+        .selectExpr("token", f"odds - sign(odds) * error + {DRIFT} AS score")
+        .toArrow()
+    )
+    scores = dict(zip(shrunk.column(0).to_pylist(), map(float, shrunk.column(1).to_pylist()), strict=True))
     model = Model(scores)
     _calibrate(model, sample)
     return model
