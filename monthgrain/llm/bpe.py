@@ -28,6 +28,37 @@ REMEMBERED = 200_000
 #: White space of the vocabulary's own pattern engine; Python's also has U+001C to U+001F.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CONTROL = re.compile("[\x1c-\x1f]")
+#: Fixed values of the vocabulary library's Unicode version: letters and numbers that it does not
+#: have yet, and capitals that Python's ``lower`` may not know (ranges by distance, and single ones).
+LATER_LETTERS = (
+    "\u0558 \u058b-\u058c \u088f \u0c5c \u0cdc \u208f \u209d-\u209f \ua7ce-\ua7cf \ua7d2 \ua7d4 \ua7dd \ua7e2 "
+    "\ua7f1 \uab6c-\uab6d \U000107bb-\U000107bf \U00010940-\U00010959 \U00010ec5-\U00010ec7 "
+    "\U00010ed9-\U00010eee \U00011b0a \U00011db0-\U00011ddb \U00011df1 \U00016ea0-\U00016eb8 "
+    "\U00016ebb-\U00016ed3 \U00016ff2-\U00016ff3 \U000187f8-\U000187ff \U00018cd6-\U00018cda "
+    "\U00018d09-\U00018d20 \U00018d80-\U00018df2 \U00018e00-\U00019191 \U000191a0-\U000191d2 "
+    "\U0001b123-\U0001b128 \U0001b168 \U0001d6a6 \U0001df1f-\U0001df24 \U0001df2b-\U0001df81 "
+    "\U0001df90-\U0001df96 \U0001dfcd-\U0001dfff \U0001e6c0-\U0001e6de \U0001e6e0-\U0001e6e2 "
+    "\U0001e6e4-\U0001e6e5 \U0001e6e7-\U0001e6ed \U0001e6f0-\U0001e6f4 \U0001e6fe-\U0001e6ff "
+    "\U0002b73a-\U0002b73f \U0002b81e \U0002cea2-\U0002cead \U000323b0-\U00033479 \U0003d000-\U0003fc3f"
+)
+LATER_NUMBERS = (
+    "\U00011de0-\U00011de9 \U0001246f \U00012475-\U0001247f \U00012550-\U00012686 \U00016ff4-\U00016ff6"
+)
+CAPITAL_RANGES = [(0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B)]
+CAPITALS = {
+    "\u1c89": "\u1c8a",
+    "\ua7cb": "\u0264",
+    "\ua7cc": "\ua7cd",
+    "\ua7ce": "\ua7cf",
+    "\ua7d2": "\ua7d3",
+    "\ua7d4": "\ua7d5",
+    "\ua7da": "\ua7db",
+    "\ua7dc": "\u019b",
+}
+LOWER = str.maketrans(
+    CAPITALS | {chr(c): chr(c + by) for a, z, by in CAPITAL_RANGES for c in range(a, z + 1)}
+)
+NEWER = re.compile("[" + "".join(map(chr, LOWER)) + "]")
 BLANK = re.compile(f"[{SPACE}]+")
 
 
@@ -58,7 +89,10 @@ class WordBpe:
             "(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")"
         )
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern.replace(r"\s", SPACE))
+        pattern = pattern.replace(r"\s", SPACE)
+        for kind, later in ((r"\p{L}", LATER_LETTERS), (r"\p{N}", LATER_NUMBERS)):
+            pattern = pattern.replace(kind, f"[{kind}--[{later.replace(' ', '')}]]")
+        self.words = regex.compile(pattern, regex.VERSION1)
         symbols = _byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + self.suffix] for s in symbols]
@@ -189,6 +223,8 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text)
         # each character by itself: no final sigma
         text = text.replace("Σ", "σ").lower()
+        if not text.isascii() and NEWER.search(text):
+            text = text.translate(LOWER)
         if CONTROL.search(text):
             return [p for p in BLANK.split(text) if p]
         return text.split()

@@ -34,6 +34,20 @@ def test_bpe_equals_the_tokenizers_library(documents):
     assert bpe.encode(documents("a").where("false"), VOCABULARY).collect() == []
 
 
+def test_every_character_is_split_and_lowered_as_by_the_library():
+    known = Tokenizer.from_file(VOCABULARY)
+    with open(VOCABULARY, encoding="utf-8") as f:
+        own = bpe.WordBpe(f.read())
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(every), 65536):
+        part = every[at : at + 65536]
+        texts = [" ".join(f"b{c}1" for c in part[k : k + 32]) for k in range(0, len(part), 32)]
+        found = own.encode_all(texts)
+        wanted = known.encode_batch(texts, add_special_tokens=False)
+        for text, ids, want in zip(texts, found, wanted, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, ascii(text)
+
+
 def test_fingerprints_add_up():
     a, b = [b"one two three", b"four five"], [b"six seven"]
     whole = fingerprint.fingerprint("one two three\nsix seven\nfour five")
