@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -125,12 +126,17 @@ def _counts(rows: DataFrame, wanted=None) -> DataFrame:
         keys = ("toxic_docs", "clean_docs")
         held = {k: Counter() for k in keys}
         only = wanted.value if wanted is not None else None
+        known: dict[str, list[str]] = {}
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = {t for w in set(WORD.findall((text or "").lower())) for t in tokens(w)}
-                held["toxic_docs" if label else "clean_docs"].update(
-                    own if only is None else own & only
-                )
+                words = set(WORD.findall((text or "").lower()))
+                if len(known) > REMEMBERED:
+                    known.clear()
+                for w in words:
+                    if w not in known:
+                        known[w] = [t for t in tokens(w) if only is None or t in only]
+                own = set(chain.from_iterable(map(known.__getitem__, words)))
+                held["toxic_docs" if label else "clean_docs"].update(own)
                 if sum(map(len, held.values())) > HELD:
                     yield flush(held)
                     held = {k: Counter() for k in keys}
