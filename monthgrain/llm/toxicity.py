@@ -11,9 +11,10 @@ significant ones is turned into a probability.
 from __future__ import annotations
 
 import re
-from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,6 @@ BEGINNINGS = (7, 6, 5, 4)
 PRIOR, SHRINK, DRIFT, SIGNIFICANT = 0.05, 1.5, -0.5, 0.05
 #: Token counts that a task holds before it passes them on, and words it remembers.
 HELD, REMEMBERED = 500_000, 300_000
-#: Distinct words of documents that are counted at once.
-WAITING = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -109,83 +108,39 @@ class Model:
         return 1 / (1 + np.exp(-(self.shift + self.slope * np.log1p(evidence))))
 
 
-class _Tally:
-    """How many documents hold each token, clean and toxic ones apart.
-
-    Words and tokens are numbers here; the distinct tokens of many documents are found at once.
-    """
-
-    def __init__(self, only: set[str] | None):
-        self.only = only
-        self.words: dict[str, int] = {}
-        self.tokens: dict[str, int] = {}
-        self.ends, self.flat = array("q", [0]), array("q")  # where each word's tokens end; those
-        self.counts = np.zeros((0, 2), np.int64)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.waiting, self.sizes, self.labels = array("q"), array("q"), array("q")
-
-    def add(self, words: set[str], label: int) -> None:
-        """One document by its distinct words."""
-        only, known, numbers, flat = self.only, self.words, self.tokens, self.flat
-        for w in words:
-            if w in known:
-                continue
-            known[w] = len(known)
-            for t in reversed(tokens(w)):
-                if only is not None and t not in only:
-                    break  # what is wanted are tokens with all their beginnings
-                flat.append(numbers.setdefault(t, len(numbers)))
-            self.ends.append(len(flat))
-        self.waiting.extend(map(self.words.__getitem__, words))
-        self.sizes.append(len(words))
-        self.labels.append(int(bool(label)))
-        if len(self.waiting) > WAITING:
-            self.fold()
-
-    def fold(self) -> None:
-        """Counts the documents that wait."""
-        n = len(self.tokens)
-        counts = np.zeros((n, 2), np.int64)
-        counts[: len(self.counts)] = self.counts
-        words, flat, ends = (np.array(a, np.int64) for a in (self.waiting, self.flat, self.ends))
-        number = ends[words + 1] - ends[words]
-        first = np.repeat(ends[words] - np.cumsum(number) + number, number)
-        doc = np.repeat(np.repeat(np.arange(len(self.sizes)), self.sizes), number)
-        held = np.sort(doc * n + flat[first + np.arange(len(first))])
-        held = held[np.append(True, held[1:] != held[:-1])] if len(held) else held
-        if len(held):
-            label = np.array(self.labels)[held // n]
-            counts += np.bincount(held % n * 2 + label, minlength=2 * n).reshape(n, 2)
-        self.counts = counts
-        self._clear()
-
-    def batch(self) -> pa.RecordBatch:
-        """(token, toxic_docs, clean_docs)."""
-        self.fold()
-        clean, toxic = self.counts.T
-        columns = [pa.array([*self.tokens], pa.string()), pa.array(toxic), pa.array(clean)]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "toxic_docs", "clean_docs"])
-
-
 def _counts(rows: DataFrame, wanted=None) -> DataFrame:
     """(token, toxic_docs, clean_docs) over rows of (text, label).
 
     With ``wanted`` (a broadcast set) other tokens are not counted. Tasks sum what they see and
-    pass it on when they hold many words or tokens; Spark adds up.
+    pass it on when they hold many tokens; Spark adds up.
     """
 
+    def flush(held: dict[str, Counter]) -> pa.RecordBatch:
+        names = [*dict.fromkeys(t for c in held.values() for t in c)]
+        columns = [pa.array([held[k][t] for t in names], pa.int64()) for k in held]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), *columns], names=["token", *held]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = ("toxic_docs", "clean_docs")
+        held = {k: Counter() for k in keys}
         only = wanted.value if wanted is not None else None
-        tally = _Tally(only)
+        known: dict[str, list[str]] = {}
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tally.add(set(WORD.findall((text or "").lower())), label)
-                if len(tally.tokens) > HELD or len(tally.words) > REMEMBERED:
-                    yield tally.batch()
-                    tally = _Tally(only)
-        yield tally.batch()
+                words = set(WORD.findall((text or "").lower()))
+                if len(known) > REMEMBERED:
+                    known.clear()
+                for w in words:
+                    if w not in known:
+                        known[w] = [t for t in tokens(w) if only is None or t in only]
+                own = set(chain.from_iterable(map(known.__getitem__, words)))
+                held["toxic_docs" if label else "clean_docs"].update(own)
+                if sum(map(len, held.values())) > HELD:
+                    yield flush(held)
+                    held = {k: Counter() for k in keys}
+        yield flush(held)
 
     kinds = "token string, toxic_docs long, clean_docs long"
     found = rows.select("text", "label").mapInArrow(run, kinds)
