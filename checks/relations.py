@@ -140,18 +140,24 @@ def fx_purchase(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fx_edc(spark: SparkSession, folder: str) -> DataFrame:
-    sums = [
-        F.expr(f"max({m}) FILTER (WHERE category = {i}) AS {c}_{m}")
-        for i, c in enumerate(CATEGORIES)
-        for m in ("freq", "sv")
-    ]
     by_category = (
         lines(spark, folder, parts=True)
-        .selectExpr("cifno", "snapshot_date", f"p_size % {len(CATEGORIES)} AS category", "price")
+        .selectExpr(
+            "cifno", "snapshot_date", f"int(p_size % {len(CATEGORIES)}) AS category", "price"
+        )
         .groupBy("cifno", "snapshot_date", "category")
         .agg(F.expr("double(count(*)) AS freq"), F.expr("double(sum(price)) AS sv"))
     )
-    return by_category.groupBy("cifno", "snapshot_date").agg(*sums)
+    # The few categories of a customer are held, not a wide row of mostly nulls for each.
+    held = "collect_list(struct(category, struct(freq, sv))) FILTER (WHERE category IS NOT NULL)"
+    monthly = by_category.groupBy("cifno", "snapshot_date").agg(
+        F.expr(f"map_from_entries({held}) AS held")
+    )
+    return monthly.selectExpr(
+        "cifno",
+        "snapshot_date",
+        *[f"held[{i}].{m} AS {c}_{m}" for i, c in enumerate(CATEGORIES) for m in ("freq", "sv")],
+    )
 
 
 def fx_phsumm(spark: SparkSession, folder: str) -> DataFrame:

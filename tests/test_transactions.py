@@ -153,3 +153,43 @@ def test_all_categories_plan_quickly_and_alike(spark, snapshot, unique):
     df = spark.sql(f"SELECT 'a' AS cifno, '200106' AS snapshot_date, {row}")
     out = trx.debit_edc(df, snapshot, unique=unique).where("snapshot_date = '200106'")
     assert rows(out, "sum_sv", "max_sv_lm6") == [(1089.0, 1089.0)]
+
+
+def test_card_payments_are_spread_from_the_few_categories_held(spark, tmp_path):
+    from checks import relations
+
+    orders = [(k, k // 2) for k in range(6)] + [(6, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    parts = [(1, 1, "a"), (2, 34, "b"), (3, None, "c"), (4, 32, None), (5, -2, "d")]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_type string").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    items = [
+        (0, 1, "2001-01-05", 10.0), (1, 2, "2001-01-09", 5.0), (1, 4, "2001-01-10", None),
+        (2, 3, "2001-02-01", 7.0), (4, 5, "2001-02-01", 1.0), (6, 1, None, 3.0),
+    ]
+    spark.createDataFrame(
+        [(o, p, 1, price, "A", "F", d) for o, p, d, price in items],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double, "
+        "l_returnflag string, l_linestatus string, l_shipdate string",
+    ).selectExpr("* EXCEPT (l_shipdate)", "cast(l_shipdate AS timestamp) AS l_shipdate").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    out = relations.fx_edc(spark, str(tmp_path))
+    found = {}
+    for r in out.collect():
+        row = r.asDict()
+        key = row.pop("cifno"), row.pop("snapshot_date")
+        found[key] = {n: v for n, v in row.items() if v is not None}
+    first, last = relations.CATEGORIES[1], relations.CATEGORIES[32]
+    assert found == {
+        ("0", "200101"): {f"{first}_freq": 2.0, f"{first}_sv": 15.0, f"{last}_freq": 1.0},
+        ("1", "200102"): {},
+        ("2", "200102"): {},
+        (None, None): {f"{first}_freq": 1.0, f"{first}_sv": 3.0},
+    }
+    # no hash table of rows as wide as the result
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "max(" not in plan
