@@ -52,6 +52,7 @@ _SEEN = "_seen"
 _INDEX = "_month_index"
 _BEFORE = "_month_before"
 _OWN = "_own"
+_FOLDED = "_folded"
 
 
 def lag_name(name: str, lag: int) -> str:
@@ -190,17 +191,25 @@ def _every_anchor(
     if unique:
         monthly = df.selectExpr(*kept)
     else:
-        fold = "max" if sums is None else "sum"
-        duplicated = f"{_ROWS} > 1" if sums is None else "false"
+        if sums is None:
+            # Wide rows do not fill hash tables: a set among the aggregates makes Spark hold few
+            # groups at once and sort the others, which can spill.
+            row = f"first(struct({', '.join(values.values())})) AS {_FOLDED}"
+            folded = [F.expr(row), F.expr(f"collect_set(true) AS {_SEEN}")]
+            duplicated = f"{_ROWS} > size({_SEEN})"
+        else:
+            folded = [F.expr(named(f"sum({v})", n)) for n, v in values.items()]
+            duplicated = "false"
         monthly = (
             df.groupBy(ref(key), MONTH)
-            .agg(
-                *[F.expr(named(f"{fold}({v})", n)) for n, v in values.items()],
-                F.expr(f"count(*) AS {_ROWS}"),
-            )
+            .agg(*folded, F.expr(f"count(*) AS {_ROWS}"))
             .where(checked_key(key, duplicated))
-            .selectExpr(*kept)
         )
+        if sums is None:
+            monthly = monthly.selectExpr(
+                ref(key), MONTH, *[named(f"{_FOLDED}.{ref(n)}", n) for n in values]
+            )
+        monthly = monthly.selectExpr(*kept)
     by_customer = f"PARTITION BY {ref(key)} ORDER BY {_INDEX}"
 
     def picked(name: str, lag: int) -> str:

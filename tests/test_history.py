@@ -170,3 +170,8 @@ def test_plan_for_unique_rows_has_one_shuffle_of_plain_rows(stored, snapshot):
     assert "Join" not in plan and "SortAggregate" not in plan
     below = plan[plan.index("Exchange"):]
     assert "Aggregate" not in below and "Window" not in below
+
+
+def test_default_backfill_holds_no_wide_rows_in_hash_tables(stored):
+    plan = plan_of(attach_history(stored, LAGS))
+    assert "HashAggregate" not in plan.replace("ObjectHashAggregate", "")
