@@ -2,7 +2,7 @@
 
 Every three consecutive lines that are not blank are hashed. A window that occurs several times
 stays where it comes first, in ascending id and line; at its later places the lines it covers
-go. Only hashes and places are shuffled for the search, then each text once to meet its cuts.
+go. Only hashes and places are shuffled for the search, then the texts that have cuts to meet them.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthgrain.llm.exact import MOST_SENT
 from monthgrain.llm.scratch import stored
 
 #: Lines in a window.
@@ -37,7 +38,9 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
         .selectExpr(
             "at",
             f"size(array_distinct({keys})) < size(windows) AS again",
-            "posexplode(windows) AS (place, window)",
+            # there is always a window; a plain explode would filter by size(windows) first, with
+            # the lines made anew for each of them
+            "posexplode_outer(windows) AS (place, window)",
         )
         .select("at", "place", "again", "window.key", "window.lines")
     )
@@ -79,6 +82,26 @@ def repeated_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return covered.groupBy("at").agg(F.collect_set("line").alias("cut"))
 
 
+def with_cuts(held: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows (at, row) and the cut of their place, null where there is none.
+
+    ``cuts`` is a plain table. A filter of sixteen bits a row or more is sent to all
+    tasks (of ``MOST_SENT`` bits at most, 64 MB; cuts it cannot tell apart only move more rows);
+    rows that it rules out stay where they are, the others meet their cuts.
+    """
+    bits = min(MOST_SENT, max(1 << 10, 1 << (16 * cuts.count()).bit_length()))
+    spot = f"pmod(xxhash64(at), {bits}L)"
+    words = cuts.groupBy(F.expr(f"{spot} div 64 AS word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast({spot} % 64 AS int))) AS mask")
+    )
+    marked = held.join(F.broadcast(words), F.expr(f"{spot} div 64 = word"), "left").selectExpr(
+        "at", "row", f"coalesce(getbit(mask, cast({spot} % 64 AS int)) = 1, false) AS maybe"
+    )
+    met = marked.where("maybe").drop("maybe").join(cuts, "at", "left")
+    alone = marked.where("NOT maybe").drop("maybe")
+    return met.unionByName(alone, allowMissingColumns=True)
+
+
 def drop_repeated_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -103,8 +126,7 @@ def drop_repeated_lines(
     text = f"coalesce(cast(`{text_col}` AS string), '')"
     cuts = stored(repeated_lines(docs.selectExpr(f"{at} AS at", f"{text} AS text"), window), "cuts")
     held = docs.select(F.expr(at).alias("at"), F.struct(*[f"`{c}`" for c in others]).alias("row"))
-    # only texts with cuts meet them; cut is null in all others, which pass straight through
-    found = held.join(cuts, "at", "left")
+    found = with_cuts(held, cuts)
     lines = f"split(row.`{text_col}`, '\\n', -1)"
     kept = f"transform(array_except(sequence(0, size({lines}) - 1), cut), i -> {lines}[i])"
     rebuilt = f"if(cut IS NULL, row.`{text_col}`, array_join({kept}, '\\n'))"

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.llm.lines import ELSEWHERE, SHARED, place_of
+from monthgrain.llm.lines import ELSEWHERE, SHARED, place_of, with_cuts
 from monthgrain.llm.scratch import stored
 from monthgrain.llm.words import _SPACE, _starts, by_size, in_slices, mix, word_hashes
 
@@ -137,7 +137,7 @@ def drop_repeated_passages(
     Words are parted by white space, A to Z count as lower case. Texts of fewer than 50 words
     stay whole, null texts stay null. Ids are whole numbers, null before all others; rows of
     equal id are told apart by their texts, and equal rows are one document. Other columns pass
-    through. No rows give no rows. ``docs`` is read three times, so it should be a plain table.
+    through. No rows give no rows. ``docs`` is read four times, so it should be a plain table.
 
     ``kin_col`` names a column of whole numbers: runs that stand first in a document of the same
     number are left alone. Null is no group.
@@ -147,7 +147,7 @@ def drop_repeated_passages(
     rows = docs.selectExpr(f"{at} AS at", f"{text} AS text")
     cuts = stored(repeated_passages(rows), "passages")
     held = docs.select(F.expr(at).alias("at"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
-    found = held.join(cuts, "at", "left").select("row.*", F.col("cut").alias("__cut"))
+    found = with_cuts(held, cuts).select("row.*", F.col("cut").alias("__cut"))
     where = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -126,3 +126,23 @@ def test_screen_keeps_every_link():
             links = both * join.den >= join.num * (len(sets[i]) + len(sets[j]) - both)
             assert not links or (i, j) in found
         assert len(found) < allowed.sum()
+
+
+def test_windows_are_made_once_for_each_text(documents):
+    docs = documents("a\nb\nc\nd", "a\nb\nc")
+    windows = lines._windows(docs.selectExpr("doc_id AS at", "text"), 3)
+    plan = windows.select("at", "key")._jdf.queryExecution().executedPlan().toString()
+    # no filter that makes all windows, and for each of them all lines, before they are spread
+    assert plan.count("transform(sequence(") == 1
+
+
+def test_only_texts_with_cuts_meet_them(documents, spark):
+    docs = documents(*[f"text {k}" for k in range(300)])
+    held = docs.selectExpr("struct(doc_id AS id) AS at", "struct(doc_id, text) AS row")
+    cuts = spark.range(0, 300, 50).selectExpr("struct(id) AS at", "array(cast(id AS int)) AS cut")
+    out = lines.with_cuts(held, cuts).collect()
+    assert sorted((r["at"].id, r["row"].text, r["cut"]) for r in out) == [
+        (k, f"text {k}", None if k % 50 else [k]) for k in range(300)
+    ]
+    none = lines.with_cuts(held, cuts.where("false")).collect()
+    assert len(none) == 300 and all(r["cut"] is None for r in none)
