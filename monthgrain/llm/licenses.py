@@ -168,17 +168,26 @@ WRAPPED = 0.3
 _WORDS = "filter(split(lower(line), '[^a-z0-9]+'), w -> w <> '')"
 
 
-def _grams(words: str, n: int) -> str:
+def _grams(words: str, n: int, first: str | None = None) -> str:
+    """The runs of ``n`` words in order; only those that begin with one of ``first``, if given."""
     parts = ", ".join(f"get({words}, i + {k})" for k in range(n))
-    return (
-        f"if(size({words}) < {n}, array(), "
-        f"transform(sequence(0, greatest(size({words}) - {n}, 0)), i -> concat_ws(' ', {parts})))"
-    )
+    starts = f"sequence(0, greatest(size({words}) - {n}, 0))"
+    if first is not None:
+        starts = f"filter({starts}, i -> get({words}, i) IN ({first}))"
+    return f"if(size({words}) < {n}, array(), transform({starts}, i -> concat_ws(' ', {parts})))"
 
 
 ALL_GRAMS = f"array_union(words, array_union({_grams('words', 2)}, {_grams('words', 3)}))"
 
 
+def _grams_among(grams: list[str]) -> str:
+    """Those of ``ALL_GRAMS`` that are listed; no others are made than ones with a listed beginning."""
+    firsts = _literals(sorted({g.split()[0] for g in grams})) or "NULL"
+    runs = f"array_union({_grams('words', 2, firsts)}, {_grams('words', 3, firsts)})"
+    own = f"filter(words, w -> w IN ({firsts}))"
+    return f"filter(array_union({own}, {runs}), g -> g IN ({_literals(grams) or 'NULL'}))"
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of n-grams, one for each family, with their intercepts and a temperature."""
@@ -316,14 +325,13 @@ def _judged(spans: DataFrame, model: Model, weights: DataFrame, known: bool) ->
     """
     kinds = len(FAMILIES)
     grams = sorted(model.weights)
-    weighted = f"filter({ALL_GRAMS}, g -> g IN ({_literals(grams) or 'NULL'}))"
     margins = [f"(w{k} + {b!r}D)" for k, b in enumerate(model.intercepts)]
     scaled = f"array({', '.join(f'{m} / {model.temperature!r}D' for m in margins)})"
     total = "aggregate(e, 0D, (a, y) -> a + y)"
     share = _let("e", "transform(m, x -> exp(x - t))", _let("z", total, "transform(e, x -> x / z)"))
     # outer, so that no test of the n-grams is pushed below the words
     summed = (
-        spans.selectExpr("at", "place", f"explode_outer({weighted}) AS gram")
+        spans.selectExpr("at", "place", f"explode_outer({_grams_among(grams)}) AS gram")
         .where("gram IS NOT NULL")
         .join(F.broadcast(weights), "gram")  # no larger than the notices' n-grams
         .groupBy("at", "place")
@@ -369,7 +377,8 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     templates = notices(spark).select("family", F.col("pairs").alias("notice"))
     pairs = sorted({p for r in templates.collect() for p in r.notice})
     words = sorted({w for p in pairs for w in p.split()})
-    known_pairs = f"array_distinct(filter({_grams('words', 2)}, p -> p IN ({_literals(pairs)})))"
+    begun = _grams("words", 2, _literals(sorted({p.split()[0] for p in pairs})))
+    known_pairs = f"array_distinct(filter({begun}, p -> p IN ({_literals(pairs)})))"
     # as an array of one element, so that no test is pushed below the words; only lines with two
     # word pairs of notices can confirm one, and only the words of wrapped lines are kept
     short = f"size(words) <= 3 AND forall(words, w -> w IN ({_literals(words)}))"

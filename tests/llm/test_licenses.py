@@ -35,3 +35,16 @@ def test_whole_paragraphs_are_learnt(documents, monkeypatch):
     docs = documents(*[f"{'x ' * 300}{k} software {k}" for k in range(60)])
     licenses.train(docs.selectExpr("text"), others=60)
     assert {"software"} in seen
+
+
+def test_only_grams_with_a_listed_beginning_are_made(spark):
+    listed = ["a", "a b", "b c d", "x y z"]
+    rows = spark.sql(
+        "SELECT split(s, ' ') AS words FROM VALUES ('a b c d a b'), ('x y'), ('q'), ('b c d'), "
+        "('z x y z a') AS t(s)"
+    )
+    among = licenses._grams_among(listed)
+    plain = f"filter({licenses.ALL_GRAMS}, g -> g IN ({licenses._literals(listed)}))"
+    found = rows.selectExpr(f"{among} AS found", f"{plain} AS want").collect()
+    assert all(r.found == r.want for r in found)
+    assert found[0].found == ["a", "a b", "b c d"]
