@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthgrain.llm import bpe, jaccard, lines, mixing, passages, quality
+from monthgrain.llm.filters import may_meet
 from monthgrain.llm.queries import BUDGET, DOMAIN, VOCABULARY, WEIGHTS, table
 from monthgrain.llm.scratch import kept, scope, stored
 
@@ -39,18 +40,32 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     kin = _free(docs, "kin")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    with scope(spark):
-        groups = jaccard.jaccard_groups(docs, NEAR)
-        groups = groups.where(f"component_id IS NOT NULL AND n_shingles >= {2 * passages.RUN}")
-        groups = groups.groupBy("doc_id").agg(F.min("component_id").alias(kin))
-        known = kept(docs.join(groups, "doc_id", "left").select(*columns, kin), "kin")
-    with scope(spark):
+    with scope(spark):  # each copy of the texts goes once the next one is written
+        with scope(spark):
+            known = kept(_with_kin(docs, kin), "kin")
         cut = kept(lines.drop_repeated_lines(known, kin_col=kin).select(*columns, kin), "lines")
     cut = passages.drop_repeated_passages(cut, kin_col=kin).select(*columns)
     cut = cut.withColumn("n_chars", F.length("text").cast("long"))
     return cut.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
+def _with_kin(docs: DataFrame, kin: str) -> DataFrame:
+    """``docs`` with the number of their group of near copies, null where a row would be alone in it.
+
+    Only texts that may be in a group move.
+    """
+    groups = jaccard.jaccard_groups(docs, NEAR).where("component_id IS NOT NULL")
+    full = f"min(component_id) FILTER (WHERE n_shingles >= {2 * passages.RUN}) AS `{kin}`"
+    ids = groups.groupBy("doc_id").agg(F.expr(full), F.count("*").alias("n"))
+    ids = stored(ids.where(F.col(kin).isNotNull()), "ids")
+    several = ids.groupBy(kin).agg(F.sum("n").alias("n")).where("n > 1").select(kin)
+    members = stored(ids.join(stored(several, "several"), kin).select("doc_id", kin), "members")
+    near, alone = may_meet(docs, members, "doc_id")
+    return near.join(members, "doc_id", "left").select(*docs.columns, kin).unionByName(
+        alone, allowMissingColumns=True
+    )
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of the least id.
 

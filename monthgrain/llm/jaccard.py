@@ -14,7 +14,8 @@
    compared with the sizes. What leaves a block is one row for each class, never its pairs.
 5. Blocks give links to the least class they reach; these become components.
 
-Texts move once, and only those of one document for each class that has a possible partner.
+Texts move once, and only those of one document for each class that has a possible partner, told
+by a filter of ids (and few others that it lets through).
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthgrain.llm.components import connected_components
+from monthgrain.llm.filters import may_meet
 from monthgrain.llm.scratch import stored
 from monthgrain.llm.words import in_slices, shingle_sets
 
@@ -601,8 +603,10 @@ def jaccard_groups(
         ),
         "wanted",
     )
-    # one plan at every size: texts move once, by a merge join
-    segments = _segments(known.join(wanted.hint("merge"), "id"), join, order)
+    # one plan at every size: texts that a filter of the wanted ids lets through move once, by a
+    # merge join
+    met, _ = may_meet(known, wanted, "id")
+    segments = _segments(met.join(wanted.hint("merge"), "id"), join, order)
     partial = (
         segments.repartition(parts, "block", "tile", "fragment")
         .sortWithinPartitions("block", "tile", "fragment", "digest")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthgrain.llm.exact import MOST_SENT
+from monthgrain.llm.filters import may_meet
 from monthgrain.llm.scratch import stored
 
 #: Lines in a window.
@@ -85,21 +85,10 @@ def repeated_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
 def with_cuts(held: DataFrame, cuts: DataFrame) -> DataFrame:
     """Rows (at, row) and the cut of their place, null where there is none.
 
-    ``cuts`` is a plain table. A filter of sixteen bits a row or more is sent to all
-    tasks (of ``MOST_SENT`` bits at most, 64 MB; cuts it cannot tell apart only move more rows);
-    rows that it rules out stay where they are, the others meet their cuts.
+    ``cuts`` is a plain table; rows that a filter rules out stay where they are.
     """
-    bits = min(MOST_SENT, max(1 << 10, 1 << (16 * cuts.count()).bit_length()))
-    spot = f"pmod(xxhash64(at), {bits}L)"
-    words = cuts.groupBy(F.expr(f"{spot} div 64 AS word")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast({spot} % 64 AS int))) AS mask")
-    )
-    marked = held.join(F.broadcast(words), F.expr(f"{spot} div 64 = word"), "left").selectExpr(
-        "at", "row", f"coalesce(getbit(mask, cast({spot} % 64 AS int)) = 1, false) AS maybe"
-    )
-    met = marked.where("maybe").drop("maybe").join(cuts, "at", "left")
-    alone = marked.where("NOT maybe").drop("maybe")
-    return met.unionByName(alone, allowMissingColumns=True)
+    near, alone = may_meet(held, cuts, "at")
+    return near.join(cuts, "at", "left").unionByName(alone, allowMissingColumns=True)
 
 
 def drop_repeated_lines(

@@ -1,9 +1,10 @@
 """Line dedup and the join of the pipeline against a plain reading of what each must do."""
 
+import os
 import random
 
 import corpus_pipeline
-from monthgrain.llm import lines, passages
+from monthgrain.llm import filters, jaccard, lines, passages, scratch
 
 DRAW = random.Random(11)
 WORDS = ["".join(DRAW.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
@@ -101,3 +102,35 @@ def test_stages_on_odd_rows(spark, documents):
     assert corpus_pipeline.encode(spark, none, "").collect() == []
     rows = corpus_pipeline.encode(spark, odd, "").collect()
     assert sorted(r.n_tokens for r in rows)[:2] == [0, 0] and len(rows) == 3
+
+
+def test_few_texts_move_and_copies_go(spark, documents, monkeypatch):
+    """Only near copies move to meet their group; of the texts between steps one copy is kept."""
+    base = prose(200).split()
+    copies = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (20, 90, 150)]
+    docs = documents(*[prose(150) for _ in range(60)], *copies)
+    moved, there = [], []
+    real, passage = filters.may_meet, passages.drop_repeated_passages
+
+    def may_meet(rows, others, key):
+        near, alone = real(rows, others, key)
+        assert near.count() + alone.count() == rows.count()
+        assert alone.join(others, key).isEmpty()
+        moved.append((key, near.count()))
+        return near, alone
+
+    def cut(*args, **named):
+        there.extend(n.split("-")[0] for n in os.listdir(scratch.folder(spark).removeprefix("file:")))
+        return passage(*args, **named)
+
+    before = {n.split("-")[0] for n in os.listdir(scratch.folder(spark).removeprefix("file:"))}
+    for module in (jaccard, lines, corpus_pipeline):
+        monkeypatch.setattr(module, "may_meet", may_meet)
+    monkeypatch.setattr(passages, "drop_repeated_passages", cut)
+    kin = corpus_pipeline._with_kin(docs, "kin").where("kin IS NOT NULL").collect()
+    assert {(r.doc_id, r.kin) for r in kin} == {(60, 60), (61, 60), (62, 60)}
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    assert [left[60 + k] for k in range(3)] == copies and len(left) == 63
+    assert {"id", "doc_id"} <= {key for key, _ in moved}
+    assert all(3 <= n <= 10 for key, n in moved if key != "at")
+    assert "lines" in there and ("kin" in before or "kin" not in there)
