@@ -11,10 +11,10 @@ significant ones is turned into a probability.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from monthgrain.llm.labelled import labelled_sample
 from monthgrain.llm.scratch import stored
+from monthgrain.llm.words import in_slices
 
 #: Most labelled documents used.
 SAMPLE = 20_000
@@ -36,6 +37,26 @@ PRIOR, SHRINK, DRIFT, SIGNIFICANT = 0.05, 1.5, -0.5, 0.05
 HELD, REMEMBERED = 500_000, 300_000
 
 WORD = re.compile(r"[^\W\d_]+")
+#: For ASCII: all but lower-case letters becomes a space.
+_ASCII = {c: c if chr(c).islower() else 32 for c in range(128)}
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Each code point as it is where it belongs to words, else the space's."""
+    found = np.full(sys.maxunicode + 1, 32, "<u4")
+    for m in WORD.finditer("".join(map(chr, range(len(found))))):
+        found[m.start() : m.end()] = np.arange(m.start(), m.end())
+    return found
+
+
+def words_of(text: str) -> list[str]:
+    """All words of a text in lower case: what ``WORD`` finds, by a table of code points."""
+    text = text.lower()
+    if text.isascii():
+        return text.translate(_ASCII).split()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return _letters()[points].tobytes().decode("utf-32-le").split()
 
 
 def tokens(word: str) -> list[str]:
@@ -90,7 +111,7 @@ class Model:
 
     def passages(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and the maximal segments as (first word, end, sum)."""
-        words = WORD.findall(text.lower())
+        words = words_of(text)
         word, seen = self.word, self.seen
         scores = np.array([seen[w] if w in seen else word(w) for w in words], np.float64)
         return len(words), segments(scores) if len(words) else []
@@ -108,6 +129,35 @@ class Model:
         return 1 / (1 + np.exp(-(self.shift + self.slope * np.log1p(evidence))))
 
 
+class _Places(dict):
+    """Where the tokens of a word stand: for each word the row of ``table`` with their numbers.
+
+    Number 0 and row 0 are for no token. With ``only`` other tokens have no number.
+    """
+
+    def __init__(self, only: set[str] | None):
+        self.only, self.number = only, {}
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.table, self.used = np.zeros((1 << 12, 1 + len(BEGINNINGS)), np.int32), 1
+
+    def __missing__(self, word: str) -> int:
+        only, number = self.only, self.number
+        own = [
+            number.setdefault(t, len(number) + 1) for t in tokens(word) if only is None or t in only
+        ]
+        row = 0
+        if own:
+            row, self.used = self.used, self.used + 1
+            if row == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[row, : len(own)] = own
+        self[word] = row
+        return row
+
+
 def _counts(rows: DataFrame, wanted=None) -> DataFrame:
     """(token, toxic_docs, clean_docs) over rows of (text, label).
 
@@ -115,32 +165,32 @@ def _counts(rows: DataFrame, wanted=None) -> DataFrame:
     pass it on when they hold many tokens; Spark adds up.
     """
 
-    def flush(held: dict[str, Counter]) -> pa.RecordBatch:
-        names = [*dict.fromkeys(t for c in held.values() for t in c)]
-        columns = [pa.array([held[k][t] for t in names], pa.int64()) for k in held]
+    def flush(places: _Places, toxic: np.ndarray, clean: np.ndarray) -> pa.RecordBatch:
+        names = pa.array(list(places.number), pa.string())
+        columns = [pa.array(c[1 : len(names) + 1]) for c in (toxic, clean)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *columns], names=["token", *held]
+            [names, *columns], names=["token", "toxic_docs", "clean_docs"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ("toxic_docs", "clean_docs")
-        held = {k: Counter() for k in keys}
-        only = wanted.value if wanted is not None else None
-        known: dict[str, list[str]] = {}
-        for batch in batches:
+        places = _Places(wanted.value if wanted is not None else None)
+        held = np.zeros((2, 1 << 16), np.int64)
+        for batch in in_slices(batches):
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = set(WORD.findall((text or "").lower()))
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for w in words:
-                    if w not in known:
-                        known[w] = [t for t in tokens(w) if only is None or t in only]
-                own = set(chain.from_iterable(map(known.__getitem__, words)))
-                held["toxic_docs" if label else "clean_docs"].update(own)
-                if sum(map(len, held.values())) > HELD:
-                    yield flush(held)
-                    held = {k: Counter() for k in keys}
-        yield flush(held)
+                words = set(words_of(text or ""))
+                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+                while len(places.number) >= held.shape[1]:
+                    held = np.concatenate([held, np.zeros_like(held)], 1)
+                # a number that comes several times is raised once
+                held[0 if label else 1, places.table[at].ravel()] += 1
+                if len(places.number) > HELD:
+                    yield flush(places, *held)
+                    places.number.clear()
+                    places.clear()
+                    held = np.zeros_like(held)
+                elif len(places) > REMEMBERED:
+                    places.clear()
+        yield flush(places, *held)
 
     kinds = "token string, toxic_docs long, clean_docs long"
     found = rows.select("text", "label").mapInArrow(run, kinds)

@@ -144,6 +144,31 @@ def test_classifiers(spark, documents):
     assert quality.score(docs.where("false"), quality.train(docs, none)).collect() == []
 
 
+def test_toxicity_words_are_found_by_a_table():
+    every = "".join(map(chr, range(0x110000)))
+    assert toxicity.words_of(every) == toxicity.WORD.findall(every.lower())
+    for text in ["", "x", "Ab_c1d² ½x İΣ\ud800 e\u0301 a\u3000b", *filter(None, ODD)]:
+        assert toxicity.words_of(text) == toxicity.WORD.findall(text.lower())
+
+
+def test_toxicity_counts_each_document_once(spark, monkeypatch):
+    texts = ["abcdefghij ABCDEFGHIK abc_abc 12", "abcd", "abcdefghij", None, "été ETE", "été"]
+    texts += [f"word{chr(97 + k)}ing" for k in range(20)]
+    rows = spark.createDataFrame([(t, k % 2) for k, t in enumerate(texts)], "text string, label int")
+    want = {}
+    for k, t in enumerate(texts):
+        for token in {x for w in toxicity.WORD.findall((t or "").lower()) for x in toxicity.tokens(w)}:
+            want.setdefault(token, [0, 0])[1 - k % 2] += 1
+    for held, known in ((500_000, 300_000), (3, 2), (500_000, 2)):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        monkeypatch.setattr(toxicity, "REMEMBERED", known)
+        found = {r.token: [r.toxic_docs, r.clean_docs] for r in toxicity._counts(rows).collect()}
+        assert found == want
+    only = spark.sparkContext.broadcast({"abcd*", "été"})
+    found = {r.token: r.clean_docs for r in toxicity._counts(rows, only).collect()}
+    assert found == {t: want[t][1] for t in only.value}
+
+
 def test_segments():
     pick = random.Random(6)
     for _ in range(200):
