@@ -92,7 +92,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts count as empty; they and empty ones have no tokens.
     """
-    return bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).select(
+    return bpe.encode(docs, VOCABULARY, decoded=True).select(
         "doc_id",
         "lang",
         "source",

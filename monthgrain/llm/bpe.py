@@ -288,16 +288,21 @@ def _column(df: DataFrame, name: str) -> str:
     return name
 
 
-def encode(df: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
+def encode(
+    df: DataFrame, vocabulary: str, text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """``df`` without its text column, with n_tokens and token_ids (binary, 32 bits each).
 
+    With ``decoded`` there is the column of ``decode``, too; one Python worker makes both, where
+    ``decode`` on top needs a second one that holds a vocabulary.
+
     Null counts as empty and gives no tokens. Special tokens written out in a text become
     their ids. Other columns pass through, but replaced ones named like a new one.
     """
     with open(vocabulary, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
-    new = {"n_tokens", "token_ids"}
-    others = [c for c in df.columns if c.lower() not in new | {text_col.lower()}]
+    new = ["n_tokens", "token_ids", *["decoded"] * decoded]
+    others = [c for c in df.columns if c.lower() not in [*new, text_col.lower()]]
     text = _column(df, "text_in")
     given = df.selectExpr(*[f"`{c}`" for c in others], f"cast(`{text_col}` as string) `{text}`")
 
@@ -307,12 +312,14 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
             ids = bpe.encode_all([t or "" for t in batch.column(len(others)).to_pylist()])
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             columns = [batch.column(k) for k in range(len(others))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, counts, pa.array(ids, pa.binary())], names=[*others, *sorted(new)]
-            )
+            columns += [counts, pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([bpe.decode(i) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*others, *new])
 
     schema = df.select(*[f"`{c}`" for c in others]).schema
     schema = schema.add("n_tokens", "long").add("token_ids", "binary")
+    schema = schema.add("decoded", "string") if decoded else schema
     return given.mapInArrow(run, schema)
 
 

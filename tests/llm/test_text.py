@@ -21,6 +21,11 @@ ODD = [
 ]
 
 
+def rows_of(df):
+    names = sorted(c for c in df.columns)
+    return sorted(map(str, df.select(*names).collect()))
+
+
 def test_bpe_equals_the_tokenizers_library(documents):
     known = Tokenizer.from_file(VOCABULARY)
     known.no_truncation()
@@ -32,6 +37,10 @@ def test_bpe_equals_the_tokenizers_library(documents):
         assert r.n_tokens == len(want.ids)
         assert r.decoded == known.decode(want.ids, skip_special_tokens=False)
     assert bpe.encode(documents("a").where("false"), VOCABULARY).collect() == []
+    both = bpe.encode(documents(*ODD).selectExpr("*", "'x' AS Decoded"), VOCABULARY, decoded=True)
+    assert sorted(both.columns) == sorted([c for c in coded.columns] + ["decoded"])
+    assert rows_of(both) == rows_of(bpe.decode(coded, VOCABULARY))
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
 
 
 def test_every_character_is_split_and_lowered_as_by_the_library():
